@@ -18,10 +18,14 @@ class Rule:
     attribute: str          # catalog attribute (rule folder name)
     label: str              # ATTRIBUTE value the rule emits
     fn: Callable
+    uses_as_of: bool = False  # result depends on the evaluation date
+
+
+_DATED = {"BDATU", "LOEKZ", "NOTKZ", "PRDAT", "from_gmid code", "order policy"}
 
 
 def _r(key, attribute, label, fn):
-    return Rule(key, attribute, label, fn)
+    return Rule(key, attribute, label, fn, attribute in _DATED)
 
 
 RULES: dict[str, Rule] = {r.key: r for r in [

@@ -29,6 +29,7 @@ def get_session(master: str | None = None, app: str = "mdq",
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("MDQ_DRIVER_MEMORY", "8g")))
     spark = b.getOrCreate()
     ensure_checkpoint_dir(spark)
