@@ -21,17 +21,23 @@ SS, INFNR, MATNR = "SOURCE_SYSTEM", "INFNR", "MATNR"
 col = F.col
 
 
-def _pir_active(t: Tables) -> DataFrame:
-    """EINE in prefix scope joined to its active EINA (same INFNR and system)."""
-    return t.eina.where(active_pir()).select(SS, INFNR, MATNR)
+def _pir(t: Tables, *cols) -> DataFrame:
+    """Rows of the shared EINE-EINA join (every EINE row, with its EINA
+    partners of the same info record and system, or one unmatched row)."""
+    return t.pir.select(SS, INFNR, *cols)
+
+
+def _active(df: DataFrame) -> DataFrame:
+    """Inner join to active general data: a partner exists and is not deleted."""
+    return df.where(col("_HAS_EINA") & col("EINA_LOEKZ").isNull())
 
 
 def dq_aplfz(t: Tables, as_of=None) -> DataFrame:
     """R01 planned delivery time (EINE.APLFZ) against the plant data (MARC)."""
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "APLFZ")
+    base = _active(_pir(t, MATNR, "APLFZ", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
     # MARC carries one row per plant; keep only the values the flags read.
     marc = t.marc.select(SS, MATNR, "PLIFZ", (col("BESKZ") == "F").alias("_ext")).distinct()
-    df = eine.join(_pir_active(t), [INFNR, SS]).join(marc, [MATNR, SS], "left")
+    df = base.join(marc, [MATNR, SS], "left")
     aplfz, plifz = col("APLFZ"), col("PLIFZ")
     c = first_match(aplfz.isNull(), aplfz == 0)
     a = first_match(aplfz <= 0, plifz.isNotNull() & (aplfz != plifz), col("_ext") & (aplfz < 1))
@@ -39,10 +45,10 @@ def dq_aplfz(t: Tables, as_of=None) -> DataFrame:
 
 
 def _price_unit_base(t: Tables, field: str) -> DataFrame:
-    eine = t.eine.where(col(field).isNotNull()).select(SS, INFNR, "BPRME", "BPUMN", "BPUMZ")
-    eina = (t.eina.where((col("LOEKZ").isNull() | (col("LOEKZ") == "")) & prefix_scope())
-            .select(SS, INFNR, MATNR, "MEINS"))
-    return eine.join(eina, [INFNR, SS])
+    loekz = col("EINA_LOEKZ")
+    return (_pir(t, MATNR, "MEINS", "BPRME", "BPUMN", "BPUMZ", "_HAS_EINA", "EINA_LOEKZ")
+            .where(col("_HAS_EINA") & (loekz.isNull() | (loekz == "")) & prefix_scope()
+                   & col(field).isNotNull()))
 
 
 def dq_bpumn(t: Tables, as_of=None) -> DataFrame:
@@ -93,10 +99,9 @@ def dq_effpr(t: Tables, as_of=None) -> DataFrame:
     accuracy value seen over the priced rows; accuracy is NULL when the
     material has no priced row or the material number is NULL.
     """
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "EFFPR")
-    eina = t.eina.where(active_pir() & prefix_scope()).select(SS, INFNR, col(MATNR).alias("GMID"))
+    base = _active(_pir(t, MATNR, "EFFPR", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
     p = col("EFFPR")
-    g = (eine.join(eina, [INFNR, SS])
+    g = (base.withColumnRenamed(MATNR, "GMID")
          .groupBy(SS, "GMID")
          .agg(*flag_presence(p.isNull(), p.isNotNull(), p == 0, p != 0)))
     df = expand_flag_pairs(g, accuracy_null=col("GMID").isNull() | ~(col("_a1") | col("_a0")))
@@ -122,8 +127,7 @@ def dq_loekz(t: Tables, as_of=None) -> DataFrame:
 
 def dq_meprf(t: Tables, as_of=None) -> DataFrame:
     """R12 pricing date control: must be '1' or '2'."""
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "MEPRF")
-    df = eine.join(_pir_active(t), [INFNR, SS])
+    df = _active(_pir(t, MATNR, "MEPRF", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
     c = first_match(is_blank("MEPRF"))
     a = first_match(is_blank("MEPRF"), ~F.trim(col("MEPRF")).isin("1", "2"))
     return result(df, SS, MATNR, "MEPRF", c, a)
@@ -131,8 +135,7 @@ def dq_meprf(t: Tables, as_of=None) -> DataFrame:
 
 def dq_mhdrz_eine(t: Tables, as_of=None) -> DataFrame:
     """R13 minimum remaining shelf life: present, positive, at most 3650."""
-    eine = t.eine.where(contains_scope()).select(SS, INFNR, "MHDRZ")
-    df = eine.join(_pir_active(t), [INFNR, SS])
+    df = _active(_pir(t, MATNR, "MHDRZ", "_HAS_EINA", "EINA_LOEKZ").where(contains_scope()))
     m = col("MHDRZ")
     c = first_match(m.isNull(), m == 0)
     a = first_match(m.isNull(), m < 0, m == 0, m > 3650)
@@ -162,9 +165,7 @@ def dq_minbm(t: Tables, as_of=None) -> DataFrame:
 def dq_netpr(t: Tables, as_of=None) -> DataFrame:
     """R15 net price. The active test sits after an outer join, so PIRs
     without general data stay (GMID NULL)."""
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "NETPR")
-    eina = t.eina.select(SS, INFNR, MATNR, "LOEKZ")
-    df = eine.join(eina, [INFNR, SS], "left").where(active_pir())
+    df = _pir(t, MATNR, "NETPR", "EINA_LOEKZ").where(prefix_scope() & col("EINA_LOEKZ").isNull())
     p = col("NETPR")
     c = first_match(p.isNull())
     a = F.when(p.isNull(), F.lit(0)).when(p == 0, F.lit(1)).otherwise(F.lit(0))
@@ -173,8 +174,7 @@ def dq_netpr(t: Tables, as_of=None) -> DataFrame:
 
 def dq_peinh(t: Tables, as_of=None) -> DataFrame:
     """R17 price unit: positive on an existing PIR."""
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "PEINH")
-    df = eine.join(t.eina.select(SS, INFNR, MATNR), [SS, INFNR], "left")
+    df = _pir(t, MATNR, "PEINH").where(prefix_scope())
     p, i = col("PEINH"), col(INFNR)
     c = first_match(p.isNull())
     a = ok_only_if(i.isNotNull() & (F.trim(i) != "") & (p > 0))
@@ -183,9 +183,9 @@ def dq_peinh(t: Tables, as_of=None) -> DataFrame:
 
 def dq_prdat(t: Tables, as_of=None) -> DataFrame:
     """R18 price valid until: later than as-of + 5 days + goods-receipt time."""
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "PRDAT")
+    base = _active(_pir(t, MATNR, "PRDAT", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
     marc = t.marc.select(SS, MATNR, "WEBAZ").distinct()
-    df = eine.join(_pir_active(t), [INFNR, SS]).join(marc, [MATNR, SS], "left")
+    df = base.join(marc, [MATNR, SS], "left")
     p = col("PRDAT")
     limit = F.date_add(as_of_col(as_of), (F.lit(5) + F.coalesce(col("WEBAZ"), F.lit(0))).cast("int"))
     c = first_match(p.isNull())

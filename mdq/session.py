@@ -28,6 +28,12 @@ def get_session(master: str | None = None, app: str = "mdq",
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
+          # Broadcast only what was measured: explicit size-checked hints
+          # (operators.joins.broadcast_if_small) and AQE's conversion after
+          # a shuffle stage has reported its real size; no broadcast from
+          # file-size estimates.
+          .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+          .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("MDQ_DRIVER_MEMORY", "8g")))

@@ -14,9 +14,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdq.sources import erp_fixtures
+from mdq.sources import erp_fixtures, views
 
 TABLE_NAMES = erp_fixtures.NAMES
+SHARED_VIEWS = tuple(views.DERIVED)
 
 
 class Tables:
@@ -44,9 +45,12 @@ class Tables:
     # -- access -----------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            if name not in self._loaders:
+            if name in self._loaders:
+                self._frames[name] = self._loaders[name]()
+            elif name in views.DERIVED:
+                self._frames[name] = views.DERIVED[name](self)
+            else:
                 raise KeyError(f"no source registered for table {name!r}")
-            self._frames[name] = self._loaders[name]()
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -57,10 +61,12 @@ class Tables:
         except KeyError as e:
             raise AttributeError(name) from e
 
-    def materialize(self, root: str | None = None, names=TABLE_NAMES) -> "Tables":
-        """Write each table once as parquet under ``root`` (default: a fresh
-        folder inside the session's checkpoint directory) and return a
-        registry that reads the written files."""
+    def materialize(self, root: str | None = None, names=TABLE_NAMES + SHARED_VIEWS) -> "Tables":
+        """Write each table (and the shared views) once as parquet under
+        ``root`` (default: a fresh folder inside the session's checkpoint
+        directory, which a cluster places on shared storage) and return a
+        registry that reads the written files. This cuts the lineage: a
+        lost executor recomputes from these files, not from the sources."""
         if root is None:
             from mdq.session import ensure_checkpoint_dir
             root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/mdq-tables-{uuid.uuid4().hex[:8]}"

@@ -20,6 +20,7 @@ def spark():
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.adaptive.enabled", "true")
+             .config("spark.sql.autoBroadcastJoinThreshold", "-1")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir():
