@@ -7,8 +7,7 @@ from mdq import AS_OF_DEFAULT
 
 
 def pipeline_queries():
-    from mdq.plans.catalog import catalog_df
-    from mdq.plans.conform import conformed
+    from mdq.plans.conform import conformed_suite
     from mdq.plans.history import history_query
     from mdq.plans.scorecard import scorecard_query
     from mdq.plans.suite import run_suite
@@ -18,7 +17,7 @@ def pipeline_queries():
         return run_suite(Tables.from_tpch(spark, sf_dir), AS_OF_DEFAULT)
 
     def dqm_conformed(spark, sf_dir):
-        return conformed(run_suite(Tables.from_tpch(spark, sf_dir), AS_OF_DEFAULT), catalog_df(spark))
+        return conformed_suite(Tables.from_tpch(spark, sf_dir), AS_OF_DEFAULT)
 
     return {
         "dqm_suite": dqm_suite,

@@ -1,14 +1,31 @@
 """X3: conformed results - one row per (system, material, attribute), all
-flags with 1 = KO."""
+flags with 1 = KO.
+
+``conformed`` works on any suite frame (for example results read back from
+storage) by joining the catalog. ``conformed_suite`` builds the same rows
+rule by rule: each rule's result is aggregated by (system, material) right
+away, so Catalyst drops the rule's own DISTINCT under the MAX (one shuffle
+less per rule), and the catalog's polarity is applied as a constant.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mdq.plans.catalog import OK_IS_ONE, enabled_rules
+
 KEY = ["SOURCE_SYSTEM", "GMID", "ATTRIBUTE"]
 
 
+def _ko(c: str, flip) -> F.Column:
+    if isinstance(flip, bool):
+        return (F.lit(1) - F.col(c)) if flip else F.col(c)
+    return F.when(flip, F.lit(1) - F.col(c)).otherwise(F.col(c))
+
+
 def conformed(suite: DataFrame, catalog: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Map each label to its catalog attribute, flip rules that report
     1 = OK, and keep the worst flag per key (MAX). The catalog side is the
@@ -16,11 +33,38 @@ def conformed(suite: DataFrame, catalog: DataFrame, extra_keys: tuple[str, ...]
     cat = F.broadcast(catalog.select(F.col("label").alias("_label"), F.col("attribute").alias("_attribute"),
                                      (F.col("polarity") == "OK=1").alias("_flip")))
     s = suite.join(cat, suite["ATTRIBUTE"] == cat["_label"])
-
-    def ko(c):
-        return F.when(F.col("_flip"), F.lit(1) - F.col(c)).otherwise(F.col(c))
-
+    flip = F.col("_flip")
     keys = [*extra_keys, "SOURCE_SYSTEM", "GMID", F.col("_attribute").alias("ATTRIBUTE")]
     return (s.groupBy(*keys)
-            .agg(F.max(ko("COMPLETENESS")).cast("int").alias("COMPLETENESS"),
-                 F.max(ko("ACCURACY")).cast("int").alias("ACCURACY")))
+            .agg(F.max(_ko("COMPLETENESS", flip)).cast("int").alias("COMPLETENESS"),
+                 F.max(_ko("ACCURACY", flip)).cast("int").alias("ACCURACY")))
+
+
+def conformed_rule(df: DataFrame, rule) -> DataFrame:
+    flip = rule.attribute in OK_IS_ONE
+    return (df.groupBy("SOURCE_SYSTEM", "GMID")
+            .agg(F.max(_ko("COMPLETENESS", flip)).cast("int").alias("COMPLETENESS"),
+                 F.max(_ko("ACCURACY", flip)).cast("int").alias("ACCURACY"))
+            .select("SOURCE_SYSTEM", "GMID", F.lit(rule.attribute).alias("ATTRIBUTE"),
+                    "COMPLETENESS", "ACCURACY"))
+
+
+def conformed_suite(t, as_of=None, rules=None) -> DataFrame:
+    rules = enabled_rules() if rules is None else rules
+    return reduce(DataFrame.unionByName, [conformed_rule(r.fn(t, as_of), r) for r in rules])
+
+
+def conformed_at_dates(t, dates, rules=None) -> DataFrame:
+    """Conformed flags at several as-of dates, with SNAPSHOT_DATE. Rules that
+    do not read the date are evaluated once and tagged with every date."""
+    rules = enabled_rules() if rules is None else rules
+    fixed = [r for r in rules if not r.uses_as_of]
+    dated = [r for r in rules if r.uses_as_of]
+    parts = []
+    if fixed:
+        tags = F.array(*[F.lit(d).cast("date") for d in dates])
+        parts.append(conformed_suite(t, None, fixed).withColumn("SNAPSHOT_DATE", F.explode(tags)))
+    for d in dates:
+        if dated:
+            parts.append(conformed_suite(t, d, dated).withColumn("SNAPSHOT_DATE", F.lit(d).cast("date")))
+    return reduce(DataFrame.unionByName, parts)

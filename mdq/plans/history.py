@@ -14,9 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mdq.plans.catalog import catalog_df
-from mdq.plans.conform import KEY, conformed
-from mdq.plans.suite import suite_at_dates
+from mdq.plans.conform import KEY, conformed_at_dates
 from mdq.sources.tables import Tables
 
 col = F.col
@@ -71,6 +69,4 @@ def change_history(snapshots: DataFrame, dates) -> DataFrame:
 def history_query(spark: SparkSession, sf_dir: str, dates=HISTORY_DATES) -> DataFrame:
     """Conformed flags at each date in ``dates``, turned into intervals."""
     t = Tables.from_tpch(spark, sf_dir)
-    cat = catalog_df(spark)
-    snaps = conformed(suite_at_dates(t, list(dates)), cat, extra_keys=("SNAPSHOT_DATE",))
-    return change_history(snaps, dates)
+    return change_history(conformed_at_dates(t, list(dates)), dates)

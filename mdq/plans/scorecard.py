@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from mdq import AS_OF_DEFAULT
 from mdq.plans.catalog import catalog_df
-from mdq.plans.conform import conformed
-from mdq.plans.suite import run_suite
+from mdq.plans.conform import conformed_suite
 from mdq.sources.tables import Tables
 
 col = F.col
@@ -45,5 +44,4 @@ def scorecard(conf: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def scorecard_query(spark: SparkSession, sf_dir: str, as_of: str = AS_OF_DEFAULT) -> DataFrame:
     t = Tables.from_tpch(spark, sf_dir)
-    cat = catalog_df(spark)
-    return scorecard(conformed(run_suite(t, as_of), cat), cat)
+    return scorecard(conformed_suite(t, as_of), catalog_df(spark))

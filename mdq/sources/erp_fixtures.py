@@ -257,11 +257,17 @@ def spark_bases(spark: SparkSession, sf_dir: str) -> dict:
     def read(name, *cols):
         return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
+    memo = {}
+
     def pairs():
-        return (read("lineitem", "l_partkey", "l_suppkey")
-                .select(F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
-                .distinct()
-                .withColumn("k", F.col("p") * 7 + F.col("s")))
+        # One DataFrame object, so that tables built from it share its plan
+        # (and its cache while the registry is materialized).
+        if "pairs" not in memo:
+            memo["pairs"] = (read("lineitem", "l_partkey", "l_suppkey")
+                             .select(F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
+                             .distinct()
+                             .withColumn("k", F.col("p") * 7 + F.col("s")))
+        return memo["pairs"]
 
     def part():
         return read("part", "p_partkey").select(F.col("p_partkey").alias("p"))
@@ -278,6 +284,7 @@ def spark_bases(spark: SparkSession, sf_dir: str) -> dict:
 
     k, p, s = F.col("k"), F.col("p"), F.col("s")
     return {
+        "pairs": pairs,
         "eine": lambda: pairs().withColumn(
             "j", F.explode(F.when(k % 5 == 0, _lit_array(0, 1)).otherwise(_lit_array(0)))),
         "eina": lambda: pairs().withColumn(

@@ -25,13 +25,16 @@ class Tables:
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
+        self._shared: list[DataFrame] = []   # inputs of several tables, cached while materializing
 
     # -- constructors -----------------------------------------------------
     @classmethod
     def from_tpch(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         bases = erp_fixtures.spark_bases(spark, sf_dir)
         loaders = {n: (lambda n=n: erp_fixtures.derive(bases[n](), n)) for n in TABLE_NAMES}
-        return cls(spark, loaders)
+        t = cls(spark, loaders)
+        t._shared.append(bases["pairs"]())
+        return t
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str | dict[str, str]) -> "Tables":
@@ -66,10 +69,22 @@ class Tables:
         ``root`` (default: a fresh folder inside the session's checkpoint
         directory, which a cluster places on shared storage) and return a
         registry that reads the written files. This cuts the lineage: a
-        lost executor recomputes from these files, not from the sources."""
+        lost executor recomputes from these files, not from the sources.
+        Shared views are computed from the written base tables."""
         if root is None:
             from mdq.session import ensure_checkpoint_dir
             root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/mdq-tables-{uuid.uuid4().hex[:8]}"
+        base = [n for n in names if n not in views.DERIVED]
+        for df in self._shared:
+            df.persist()
+        try:
+            for n in base:
+                self[n].write.mode("overwrite").parquet(f"{root}/{n}")
+        finally:
+            for df in self._shared:
+                df.unpersist()
+        written = Tables.from_parquet(self.spark, {n: f"{root}/{n}" for n in base})
         for n in names:
-            self[n].write.mode("overwrite").parquet(f"{root}/{n}")
+            if n in views.DERIVED:
+                written[n].write.mode("overwrite").parquet(f"{root}/{n}")
         return Tables.from_parquet(self.spark, {n: f"{root}/{n}" for n in names})
