@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+The rules are batch checks over the current state of master data; they have
+no event time, watermark, window or state. Historisation is a dated batch
+snapshot (``mdq.plans.history.write_snapshot``) followed by
+``change_history``, which a scheduler runs once per as-of date.
+"""
