@@ -14,7 +14,14 @@ col = F.col
 
 
 def dq_kapid(t: Tables, as_of=None) -> DataFrame:
-    """R07 capacity id: present and assigned in CRCA; GMID from PP_TABS."""
+    """R07 capacity id: present and assigned in CRCA; GMID from PP_TABS.
+
+    The reference left-joins the capacities to PP_TABS. One capacity can be
+    linked to a large share of all materials, and AQE cannot split the
+    non-preserved side of an outer join, so the same rows are built as an
+    inner join (splittable on both sides) plus the capacities without any
+    link (anti join against the distinct link keys), with GMID NULL.
+    """
     crca = broadcast_if_small(t.crca.select(SS, "KAPID", F.lit(True).alias("_in_crca")).distinct())
     checked = (t.kako.select(SS, "KAPID")
                .join(crca, ["KAPID", SS], "left")
@@ -25,7 +32,10 @@ def dq_kapid(t: Tables, as_of=None) -> DataFrame:
     links = (t.pp_tabs.select(col("MARA_SOURCE_SYSTEM").alias(SS), col("KAKO_KAPID").alias("KAPID"),
                               col("MARA_MATNR").alias("GMID"))
              .distinct())
-    df = checked.join(links, ["KAPID", SS], "left")
+    linked = links.join(checked, ["KAPID", SS])
+    unlinked = (checked.join(links.select("KAPID", SS).distinct(), ["KAPID", SS], "left_anti")
+                .withColumn("GMID", F.lit(None).cast("string")))
+    df = linked.unionByName(unlinked)
     return result(df, SS, "GMID", "KAPID", "_C", "_A")
 
 

@@ -204,3 +204,15 @@ def test_dock_to_stock_numeric_match(make_tables):
     assert run("dq_dock_to_stock", t) == [("kinaxis", "12", "dock to stock lead time", 0, 0),
                                           ("kinaxis", "13", "dock to stock lead time", 0, 1),
                                           ("kinaxis", "14", "dock to stock lead time", 0, 1)]
+
+
+def test_kapid_links_unlinked_and_blank(make_tables):
+    t = make_tables(
+        kako=[dict(SOURCE_SYSTEM="P08", KAPID="00000001"), dict(SOURCE_SYSTEM="P08", KAPID="00000002"),
+              dict(SOURCE_SYSTEM="P08", KAPID=" "), dict(SOURCE_SYSTEM="P08", KAPID=None)],
+        crca=[dict(SOURCE_SYSTEM="P08", KAPID="00000001")],
+        pp_tabs=[dict(MARA_SOURCE_SYSTEM="P08", KAKO_KAPID="00000001", MARA_MATNR=f"M{i}") for i in range(5)]
+        + [dict(MARA_SOURCE_SYSTEM="SHIFT", KAKO_KAPID="00000002", MARA_MATNR="MX")])
+    assert run("dq_kapid", t) == sorted(
+        [("P08", f"M{i}", "KAPID", 0, 0) for i in range(5)]
+        + [("P08", None, "KAPID", 0, 1), ("P08", None, "KAPID", 1, 1)], key=str)
