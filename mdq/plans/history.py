@@ -70,3 +70,60 @@ def history_query(spark: SparkSession, sf_dir: str, dates=HISTORY_DATES) -> Data
     """Conformed flags at each date in ``dates``, turned into intervals."""
     t = Tables.from_tpch(spark, sf_dir)
     return change_history(conformed_at_dates(t, list(dates)), dates)
+
+
+def advance_history(history: DataFrame | None, snapshot: DataFrame, as_of: str) -> DataFrame:
+    """Add one snapshot (taken at ``as_of``, later than every date in
+    ``history``) to the validity intervals, without rereading old snapshots.
+
+    Closed intervals pass through. Open intervals (VALID_TO NULL) are
+    full-outer-joined with the new snapshot on the key (null-safe: GMID may
+    be NULL): an interval stays open when the key is present with the same
+    flags, is closed at ``as_of`` when the flags differ or the key is absent,
+    and a new open interval starts at ``as_of`` for new or changed keys. The
+    work per run is proportional to the number of keys, not to the number of
+    snapshots taken so far. Equal to ``change_history`` over all dates.
+    """
+    d = F.lit(as_of).cast("date")
+    snap = snapshot.select(*KEY, col("COMPLETENESS").cast("int").alias("COMPLETENESS"),
+                           col("ACCURACY").cast("int").alias("ACCURACY"))
+    if history is None:
+        return snap.select(*KEY, "COMPLETENESS", "ACCURACY", d.alias("VALID_FROM"),
+                           F.lit(None).cast("date").alias("VALID_TO"))
+    closed = history.where(col("VALID_TO").isNotNull())
+    o = history.where(col("VALID_TO").isNull()).alias("o")
+    n = snap.alias("n")
+    cond = None
+    for k in KEY:
+        c = F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))
+        cond = c if cond is None else cond & c
+    j = o.join(n, cond, "full")
+    has_o = F.col("o.VALID_FROM").isNotNull()
+    has_n = F.col("n.ATTRIBUTE").isNotNull()  # ATTRIBUTE is never NULL in a snapshot
+    same = (F.col("o.COMPLETENESS").eqNullSafe(F.col("n.COMPLETENESS"))
+            & F.col("o.ACCURACY").eqNullSafe(F.col("n.ACCURACY")))
+    old_part = j.where(has_o).select(
+        *[F.col(f"o.{k}").alias(k) for k in KEY], F.col("o.COMPLETENESS").alias("COMPLETENESS"),
+        F.col("o.ACCURACY").alias("ACCURACY"), F.col("o.VALID_FROM").alias("VALID_FROM"),
+        F.when(has_n & same, F.lit(None).cast("date")).otherwise(d).alias("VALID_TO"))
+    new_part = j.where(has_n & ~(has_o & same)).select(
+        *[F.col(f"n.{k}").alias(k) for k in KEY], F.col("n.COMPLETENESS").alias("COMPLETENESS"),
+        F.col("n.ACCURACY").alias("ACCURACY"), d.alias("VALID_FROM"), F.lit(None).cast("date").alias("VALID_TO"))
+    return closed.unionByName(old_part).unionByName(new_part)
+
+
+def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None,
+              previous_history_root: str | None = None) -> DataFrame:
+    """One scheduled run: conformed suite -> dated snapshot -> history
+    (advanced from the previous run's history, when given) -> scorecard."""
+    from mdq.plans.catalog import catalog_df
+    from mdq.plans.conform import conformed_suite
+    from mdq.plans.scorecard import scorecard
+
+    spark = t.spark
+    write_snapshot(conformed_suite(t, as_of), snapshot_root, as_of)
+    snap = read_snapshots(spark, snapshot_root).where(col("SNAPSHOT_DATE") == F.lit(as_of).cast("date"))
+    if history_root:
+        prev = spark.read.parquet(previous_history_root) if previous_history_root else None
+        advance_history(prev, snap.drop("SNAPSHOT_DATE"), as_of).write.mode("overwrite").parquet(history_root)
+    return scorecard(snap.drop("SNAPSHOT_DATE"), catalog_df(spark))
