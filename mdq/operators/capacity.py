@@ -32,7 +32,9 @@ def dq_kapid(t: Tables, as_of=None) -> DataFrame:
     links = (t.pp_tabs.select(col("MARA_SOURCE_SYSTEM").alias(SS), col("KAKO_KAPID").alias("KAPID"),
                               col("MARA_MATNR").alias("GMID"))
              .distinct())
-    linked = links.join(checked, ["KAPID", SS])
+    # The checked capacities are bounded by the number of capacities; when
+    # within the broadcast bound the links stream past them without a shuffle.
+    linked = links.join(broadcast_if_small(checked), ["KAPID", SS])
     unlinked = (checked.join(links.select("KAPID", SS).distinct(), ["KAPID", SS], "left_anti")
                 .withColumn("GMID", F.lit(None).cast("string")))
     df = linked.unionByName(unlinked)
