@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from mdq.plans.catalog import enabled_rules
 from mdq.sources.tables import Tables
@@ -16,22 +15,3 @@ def run_suite(t: Tables, as_of=None, rules=None) -> DataFrame:
     enabled ones)."""
     rules = enabled_rules() if rules is None else rules
     return reduce(DataFrame.unionByName, [r.fn(t, as_of) for r in rules])
-
-
-def suite_at_dates(t: Tables, dates: list[str], rules=None) -> DataFrame:
-    """The suite evaluated at several as-of dates, with SNAPSHOT_DATE.
-
-    Rules that do not read the as-of date are evaluated once and tagged with
-    every date; only date-dependent rules run once per date.
-    """
-    rules = enabled_rules() if rules is None else rules
-    fixed = [r for r in rules if not r.uses_as_of]
-    dated = [r for r in rules if r.uses_as_of]
-    parts = []
-    if fixed:
-        tags = F.array(*[F.lit(d).cast("date") for d in dates])
-        parts.append(run_suite(t, None, fixed).withColumn("SNAPSHOT_DATE", F.explode(tags)))
-    for d in dates:
-        if dated:
-            parts.append(run_suite(t, d, dated).withColumn("SNAPSHOT_DATE", F.lit(d).cast("date")))
-    return reduce(DataFrame.unionByName, parts)
