@@ -89,3 +89,23 @@ def test_daily_runs_build_the_same_history(spark, tmp_path):
     want = history_query(spark, SF_SMALL, dates)
     cols = want.columns
     assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_sql_views_and_cli(spark, tmp_path):
+    from conftest import SF_SMALL
+
+    from mdq.__main__ import main
+    from mdq.sql import register_views
+    from mdq.sources.tables import Tables
+    t = Tables.from_tpch(spark, SF_SMALL)
+    register_views(spark, t, "1998-06-30")
+    n_sql = spark.sql("SELECT COUNT(*) AS n FROM dq_to_site WHERE ACCURACY = 1").first()["n"]
+    assert n_sql == RULES["dq_to_site"].fn(t, "1998-06-30").where("ACCURACY = 1").count()
+    attrs = spark.sql("SELECT COUNT(DISTINCT ATTRIBUTE) AS n FROM dqm_conformed").first()["n"]
+    assert attrs == len(enabled_rules())
+    root = str(tmp_path / "erp")
+    m = t.materialize(root, names=("bod",))
+    assert main(["rule", "dq_to_site", "--tables-root", root, "--as-of", "1998-06-30",
+                 "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == spark.table("dq_to_site").count()
+    assert m.bod.count() > 0
