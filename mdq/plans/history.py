@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mdq.plans.conform import KEY, conformed_at_dates
+from mdq.plans.catalog import enabled_rules
+from mdq.plans.conform import KEY, conformed_at_dates, conformed_suite
 from mdq.sources.tables import Tables
 
 col = F.col
@@ -66,10 +67,33 @@ def change_history(snapshots: DataFrame, dates) -> DataFrame:
                     col("ACCURACY").cast("int").alias("ACCURACY"), "VALID_FROM", "VALID_TO"))
 
 
+def history_over_dates(t: Tables, dates, rules=None) -> DataFrame:
+    """Validity intervals of the conformed flags evaluated at each date in
+    ``dates`` over the same tables.
+
+    A rule that does not read the as-of date gives the same flags at every
+    date, so each of its keys is one interval from the first date, still
+    open; only the date-dependent rules go through ``change_history``.
+    """
+    rules = enabled_rules() if rules is None else rules
+    fixed = [r for r in rules if not r.uses_as_of]
+    dated = [r for r in rules if r.uses_as_of]
+    parts = []
+    if fixed:
+        parts.append(conformed_suite(t, None, fixed).select(
+            *KEY, "COMPLETENESS", "ACCURACY", F.lit(min(dates)).cast("date").alias("VALID_FROM"),
+            F.lit(None).cast("date").alias("VALID_TO")))
+    if dated:
+        parts.append(change_history(conformed_at_dates(t, list(dates), dated), dates))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def history_query(spark: SparkSession, sf_dir: str, dates=HISTORY_DATES) -> DataFrame:
     """Conformed flags at each date in ``dates``, turned into intervals."""
-    t = Tables.from_tpch(spark, sf_dir)
-    return change_history(conformed_at_dates(t, list(dates)), dates)
+    return history_over_dates(Tables.from_tpch(spark, sf_dir), dates)
 
 
 def advance_history(history: DataFrame | None, snapshot: DataFrame, as_of: str) -> DataFrame:
