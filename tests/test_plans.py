@@ -109,3 +109,22 @@ def test_sql_views_and_cli(spark, tmp_path):
                  "--out", str(tmp_path / "out")]) == 0
     assert spark.read.parquet(str(tmp_path / "out")).count() == spark.table("dq_to_site").count()
     assert m.bod.count() > 0
+
+
+RESULT = T.StructType([T.StructField(n, t) for n, t in [
+    ("SOURCE_SYSTEM", T.StringType()), ("GMID", T.StringType()), ("ATTRIBUTE", T.StringType()),
+    ("COMPLETENESS", T.IntegerType()), ("ACCURACY", T.IntegerType())]])
+
+
+def test_conformed_flips_polarity_and_keeps_worst(spark):
+    from mdq.plans.conform import conformed, conformed_rule
+    rows = [("S", "M1", "LVORM", 1, 1), ("S", "M1", "LVORM", 0, 1),      # 1 = OK in the rule
+            ("S", "M2", "EFFPR", 0, None), ("S", "M2", "EFFPR", 1, None),
+            ("S", "M3", "EFFPR", 0, 0), ("S", "M3", "EFFPR", 0, 1)]
+    suite = spark.createDataFrame(rows, RESULT)
+    via_catalog = sorted(map(tuple, conformed(suite, catalog_df(spark)).collect()), key=str)
+    assert via_catalog == sorted([("S", "M1", "LVORM", 1, 0), ("S", "M2", "EFFPR", 1, None),
+                                  ("S", "M3", "EFFPR", 0, 1)], key=str)
+    per_rule = conformed_rule(suite.where("ATTRIBUTE = 'LVORM'"), RULES["dq_lvorm"]).unionByName(
+        conformed_rule(suite.where("ATTRIBUTE = 'EFFPR'"), RULES["dq_effpr"]))
+    assert sorted(map(tuple, per_rule.collect()), key=str) == via_catalog
