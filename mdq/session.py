@@ -27,6 +27,9 @@ def get_session(master: str | None = None, app: str = "mdq",
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+          # Size post-shuffle partitions by bytes (advisory 64 MB), not by
+          # core count: fewer tiny tasks on a busy cluster.
+          .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           # Broadcast only what was measured: explicit size-checked hints
           # (operators.joins.broadcast_if_small) and AQE's conversion after
