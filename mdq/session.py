@@ -1,59 +1,96 @@
-"""SparkSession factory with the settings the rules rely on."""
+"""SparkSession factory and the shared scratch folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Set only where the submit (command line, defaults file) leaves them unset.
+DEFAULTS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.adaptive.enabled": "true",
+    # Size post-shuffle partitions by bytes (advisory 64 MB), not by core count.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join next to a DISTINCT or aggregate on the same key may still be split.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # No broadcast from file-size estimates; AQE converts a join after the
+    # shuffle has measured the side.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def submitted_conf() -> dict[str, str]:
+    """Settings that spark-submit, the defaults file or a running context
+    already fix, read from a SparkConf that loads them."""
+    from pyspark import SparkConf, SparkContext
+    if SparkContext._active_spark_context is not None:
+        return dict(SparkContext._active_spark_context.getConf().getAll())
+    SparkContext._ensure_initialized()
+    return dict(SparkConf(loadDefaults=True, _jvm=SparkContext._jvm).getAll())
 
 
 def get_session(master: str | None = None, app: str = "mdq",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session.
 
-    On a cluster the master, memory and ``spark.checkpoint.dir`` come from the
-    submit configuration; only unset values are filled in here, so local runs
-    and tests work out of the box.
+    The cluster decides: a master is set only when the caller names one, and
+    each of ``DEFAULTS`` only when the submit leaves it unset. Without any
+    master Spark's own rule holds (an error, or the submitted default).
     """
+    running = SparkSession.getActiveSession()
+    if running is not None and not master:
+        return running
+    given = submitted_conf()
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        b = b.master("local[*]")
     parts = shuffle_partitions or int(os.environ.get("MDQ_SHUFFLE_PARTITIONS", "0") or 0)
     if parts:
         b = b.config("spark.sql.shuffle.partitions", str(parts))
-    b = (b.config("spark.ui.enabled", "false")
-          .config("spark.sql.adaptive.enabled", "true")
-          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-          # Size post-shuffle partitions by bytes (advisory 64 MB), not by
-          # core count: fewer tiny tasks on a busy cluster.
-          .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
-          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          # Broadcast only what was measured: explicit size-checked hints
-          # (operators.joins.broadcast_if_small) and AQE's conversion after
-          # a shuffle stage has reported its real size; no broadcast from
-          # file-size estimates.
-          .config("spark.sql.autoBroadcastJoinThreshold", "-1")
-          .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
-          .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.ui.showConsoleProgress", "false")
-          .config("spark.driver.memory", os.environ.get("MDQ_DRIVER_MEMORY", "8g")))
-    spark = b.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    for k, v in DEFAULTS.items():
+        if k not in given:
+            b = b.config(k, v)
+    if "MDQ_DRIVER_MEMORY" in os.environ and "spark.driver.memory" not in given:
+        b = b.config("spark.driver.memory", os.environ["MDQ_DRIVER_MEMORY"])
+    return b.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, creating a local one only when the
-    cluster configuration names none (tests, local runs)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    A machine-local folder is made only when the setting is missing and the
+    master is local (tests, one machine); on a cluster its absence is an error.
+    """
     sc = spark.sparkContext
-    cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if cur:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(cur)
         return cur
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="mdq-ckpt-")
     sc.setCheckpointDir(local)
     return local
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it back.
+    This cuts the lineage: a lost executor re-reads files, nothing is redone."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
