@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mdq.llm.common import read_table, write_shared
 from mdq.llm.tokens import WORD_BPE, encoder, text_groups, vocabulary
@@ -25,8 +26,8 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PARTITION = 50_000
 ROUNDS = 6
-PLACED = {"sequence_id": "bigint", "offset": "bigint", "pk_give": "boolean", "pk_part": "int",
-          "pk_bins": "bigint", "pk_bound": "bigint", "pk_given": "bigint"}
+PLACED = {"sequence_id": T.LongType(), "offset": T.LongType(), "pk_give": T.BooleanType(), "pk_part": T.IntegerType(),
+          "pk_bins": T.LongType(), "pk_bound": T.LongType(), "pk_given": T.LongType()}
 
 
 # -- one partition -----------------------------------------------------------
