@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,3 +95,21 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would, unless they
+    find it already (it is on the submitted PYTHONPATH) or were given it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_mdq_shipped", False):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="mdq-ship-"), "mdq.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(os.path.join(root, "mdq")):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(name)
+    sc._mdq_shipped = True
