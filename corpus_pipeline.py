@@ -1,17 +1,33 @@
 """Corpus pipeline: documents through the training-data operators.
 
 Each stage takes (spark, docs, sf_dir); all but the last return the columns of
-``docs``. A stage's rows are written as Parquet and read again for the next.
+``docs``. A stage's rows are written as Parquet to the shared folder and read
+again for the next, so each works on all rows that its predecessor kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdq.llm import mixing, packing
+from mdq.llm import language_id, mixing, packing, quality_rules, simhash
 from mdq.llm.common import read_table, write_shared
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a recognizable language (learned from ``docs``)."""
+    return language_id.keep_known(docs, language_id.fit(docs))
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the base rules or their divergence reject."""
+    return quality_rules.keep_good(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group: the one of the smallest id."""
+    return simhash.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents so that every source has the same expected share."""
     return mixing.mix(docs).select(*[f"`{c}`" for c in docs.columns])
@@ -22,7 +38,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.packed_documents(docs)
 
 
-STAGES = [("mixing", mix_sources), ("best_fit_packing", pack_sequences)]
+STAGES = [
+    ("language_id", identify_language),
+    ("quality_rules", apply_quality_rules),
+    ("simhash", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
 #: Learned models and tokenizers cannot be written in SQL.
 ORACLE_SQL = None

@@ -9,12 +9,13 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdq.session import shared_path, write_shared  # noqa: F401
+from mdq.session import ship_package, shared_path, write_shared  # noqa: F401
 
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
