@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mdq.llm.common import read_table
-from mdq.llm.tokens import _OTHER_SPACE, _SPACED, BYTE_BPE, text_groups, vocabulary
+from mdq.llm.tokens import _OTHER_SPACE, _SIMPLE, _SPACED, BYTE_BPE, Memo, byte_letters, text_groups, vocabulary
 
 LIMIT = 512
 
@@ -37,7 +37,8 @@ LIMIT = 512
 class PrefixCounter:
     """Token counts of a text and of all its prefixes."""
 
-    def __init__(self, path: str, max_pieces: int = 400_000, max_len: int = 64):
+    def __init__(self, path: str, memo_size: int = 600_000):
+        import ahocorasick
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -45,62 +46,69 @@ class PrefixCounter:
         if model["type"] != "BPE" or spec.get("normalizer") or model.get("byte_fallback"):
             raise ValueError("a byte-level BPE file without normalizer is needed")
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self.special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        self.special_re = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self.vocab = {t: None for t in model["vocab"] if t not in self.special}
-        self.rank: dict[tuple[str, str], int] = {}
-        self.born: dict[str, tuple[int, str, str]] = {}   # token -> rank of its merge, left, right
+        self.letters = byte_letters()
+        special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.special_re = re.compile("|".join(map(re.escape, special))) if special else None
+        ids = {t: i for t, i in model["vocab"].items() if t not in special}
+        self.merge_of: dict[int, int] = {}                     # a << 32 | b -> rank
+        self.born: dict[int, tuple[int, int, int]] = {}        # token -> rank of its merge, left, right
         for r, m in enumerate(model["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
-            self.rank[a, b] = r
-            self.born.setdefault(a + b, (r, a, b))
-        self.longest = max(map(len, self.vocab), default=1)
-        self.max_pieces, self.max_len = max_pieces, max_len
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, int] = {}
+            self.merge_of[ids[a] << 32 | ids[b]] = r
+            self.born.setdefault(ids[a + b], (r, ids[a], ids[b]))
+        self.ends = ahocorasick.Automaton()                    # all tokens that end at a place
+        for t, i in ids.items():
+            self.ends.add_word(t, (len(t), i))
+        self.ends.make_automaton()
+        self.pairs: dict[int, bool] = {}
+        self.max_pairs = 2_000_000
+        self.memo = Memo(self.piece, memo_size)
 
     # -- the recurrence ----------------------------------------------------
-    def adjacent(self, a: str, b: str) -> bool:
-        """Do the merges leave a and b side by side?"""
-        known = self.pairs.get((a, b))
-        if known is not None:
-            return known
+    def adjacent(self, a: int, b: int) -> bool:
+        """Do the merges leave tokens a and b side by side?"""
         x, y, limit = a, b, float("inf")
-        ok = True
         while True:
-            r = self.rank.get((x, y))
+            r = self.merge_of.get(x << 32 | y)
             if r is not None and r < limit:
-                ok = False
-                break
+                return False
             bx, by = self.born.get(x), self.born.get(y)
             if bx is None and by is None:
-                break
+                return True
             if by is None or (bx is not None and bx[0] > by[0]):
                 limit, x = bx[0], bx[2]            # the left token was made last: before that, its right part touched y
             else:
                 limit, y = by[0] + 1, by[1]        # equal ranks: the merge further left comes first, so the border's wins
-        if len(self.pairs) > 4 * self.max_pieces:
-            self.pairs = {}
-        self.pairs[a, b] = ok
-        return ok
 
     def table(self, w: str) -> list[int]:
         """count[i] for every prefix of the pre-token w (byte-level letters)."""
-        n, vocab, longest = len(w), self.vocab, self.longest
-        last, count = [""] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
-                t = w[j:i]
-                if t in vocab and (j == 0 or self.adjacent(last[j], t)):
-                    last[i], count[i] = t, count[j] + 1
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
+        count, last, pairs = [0] * (len(w) + 1), [0] * (len(w) + 1), self.pairs
+        if len(pairs) > self.max_pairs:
+            pairs.clear()
+        for end, (n, t) in self.ends.iter(w):      # longest first at each end
+            i = end + 1
+            if count[i]:
+                continue
+            j = i - n
+            if j:
+                if not count[j]:
+                    raise ValueError("the vocabulary lacks a byte")
+                key = last[j] << 32 | t
+                ok = pairs.get(key)
+                if ok is None:
+                    ok = pairs[key] = self.adjacent(last[j], t)
+                if not ok:
+                    continue
+            last[i], count[i] = t, count[j] + 1
+        if w and not count[-1]:
+            raise ValueError("the vocabulary lacks a byte")
         return count
 
     # -- pieces and texts --------------------------------------------------
     def piece(self, p: str) -> int:
         """Tokens of a piece of text that white space cuts off."""
+        if _SIMPLE(p):                             # one pre-token
+            return self.table(p.encode().decode("latin-1").translate(self.letters))[-1]
         if self.special_re is None or not self.special_re.search(p):
             return sum(self.table(w)[-1] for w, _ in self.split(p))
         return (sum(self.piece(x) for x in self.special_re.split(p) if x)
@@ -109,18 +117,7 @@ class PrefixCounter:
     def cumulative(self, text: str) -> tuple[list[str], np.ndarray]:
         """The text's pieces, and the token count at the end of each."""
         pieces = [text] if not text.isascii() and _OTHER_SPACE.search(text) else _SPACED.findall(text)
-        memo = self.memo
-        if len(memo) > self.max_pieces:
-            memo = self.memo = {}
-        n = []
-        for p in pieces:
-            c = memo.get(p)
-            if c is None:
-                c = self.piece(p)
-                if len(p) <= self.max_len:
-                    memo[p] = c
-            n.append(c)
-        return pieces, np.cumsum(n, dtype=np.int64) if n else np.zeros(0, np.int64)
+        return pieces, np.cumsum(np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces)))
 
     def prefixes(self, text: str) -> np.ndarray:
         """Exact token count of text[:i] for i = 0 .. len(text)."""

@@ -12,8 +12,7 @@ be cut in the middle, are encoded whole.
 from __future__ import annotations
 
 import re
-
-import numpy as np
+from array import array
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -29,69 +28,71 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class PieceEncoder:
-    """Encodes texts with the tokenizer file at ``path``.
+#: Pieces of one pre-token: Latin letters, with at most one space in front.
+_SIMPLE = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself
+    where it prints, else the next one from U+0100."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+class Memo(dict):
+    """What ``make`` gives for each piece asked for. Two generations of at most
+    ``size`` pieces bound the memory and keep the pieces in use; pieces over
+    ``max_len`` characters are not kept."""
 
-    ``spaces``: white space carries tokens (byte-level vocabularies); else it
-    only separates words. New pieces are encoded many at once, with a separator
-    between them that keeps an id of its own: a line feed, or the digit 0.
-    ``max_pieces`` bounds the memo, which is emptied when full; pieces over
-    ``max_len`` characters are not remembered.
-    """
+    def __init__(self, make, size: int, max_len: int = 64):
+        super().__init__()
+        self.make, self.size, self.max_len, self.old = make, size, max_len, {}
 
-    def __init__(self, path: str, spaces: bool, max_pieces: int = 1_000_000, max_len: int = 64):
+    def __missing__(self, piece):
+        found = self.old.get(piece)
+        if found is None:
+            found = self.make(piece)
+        if len(piece) <= self.max_len:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
+class PieceEncoder:
+    """Encodes texts with the tokenizer file at ``path``. ``spaces``: white
+    space carries tokens (byte-level vocabularies); else it separates words and
+    letters are lower-cased. A piece that is one pre-token goes straight to the
+    library's model, any other through its whole chain."""
+
+    def __init__(self, path: str, spaces: bool, memo_size: int = 600_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.model, self.letters, self.spaces = self.tok.model, byte_letters(), spaces
         self.find = (_SPACED if spaces else _WORDS).findall
-        self.sep, self.odd = ("\n", re.compile(r"(?!^ )\s", re.ASCII)) if spaces else (" 0 ", re.compile("0"))
-        ids = self.tok.encode(self.sep, add_special_tokens=False).ids
-        self.sep_id = ids[0] if len(ids) == 1 else None
-        self.max_pieces, self.max_len = max_pieces, max_len
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self._piece, memo_size)
+
+    def _piece(self, p: str) -> bytes:
+        if _SIMPLE(p):
+            if not self.spaces:
+                p = p.lower()
+            word = p.encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return array("I", self.tok.encode(p, add_special_tokens=False).ids).tobytes()
 
     def pieces(self, text: str) -> list[str]:
         if not text.isascii() and _OTHER_SPACE.search(text):
             return [text]
         return self.find(text)
 
-    def _each(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _fill(self, memo: dict, missing: list[str]) -> None:
-        odd = self.odd.search
-        easy = [p for p in missing if not odd(p)] if self.sep_id is not None else []
-        for i in range(0, len(easy), 500):
-            part = easy[i:i + 500]
-            raw = self._each([self.sep.join(part) + self.sep])[0]
-            ends = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == self.sep_id)).tolist()
-            if len(ends) != len(part):
-                memo.update(zip(part, self._each(part)))
-                continue
-            at = 0
-            for p, end in zip(part, ends):
-                memo[p] = raw[at:end]
-                at = end + 4
-        rest = [p for p in missing if p not in memo]
-        memo.update(zip(rest, self._each(rest)))
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.pieces(t) for t in texts]
-        if len(self.memo) > self.max_pieces:
-            self.memo = {}
-        memo = self.memo
-        missing = set().union(*cut).difference(memo)
-        long = [p for p in missing if len(p) > self.max_len]
-        self._fill(memo, [p for p in missing if len(p) <= self.max_len])
-        memo.update(zip(long, self._each(long)))
-        get = memo.__getitem__
-        out = [b"".join(map(get, c)) for c in cut]
-        for p in long:
-            del memo[p]
-        return out
+        get = self.memo.__getitem__
+        return [b"".join(map(get, self.pieces(t))) for t in texts]
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
