@@ -104,10 +104,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path
     def cut(batches):
         enc = encoder(path, spaces=False)
         for b in batches:
-            names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            names, texts = b.column(0).to_pylist(), b.column(1)
             for lo, hi in text_groups(texts):
                 rows = [(d, p // step, p // 4, raw[p:p + step])
-                        for d, x in zip(names[lo:hi], enc.encode([t or "" for t in texts[lo:hi]]))
+                        for d, x in zip(names[lo:hi], enc.encode(texts.slice(lo, hi - lo)))
                         for raw in (x + end,) for p in range(0, len(raw), step)]
                 d, k, s, x = zip(*rows)
                 yield pa.record_batch([pa.array(d, pa.int64()), pa.array(k, pa.int32()), pa.array(s, pa.int64()),

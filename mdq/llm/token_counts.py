@@ -180,9 +180,8 @@ def token_counts(docs: DataFrame, limit: int = LIMIT, path: str | None = None) -
     def count(batches):
         c = _counter(path)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in text_groups(texts):
-                part = [t or "" for t in texts[lo:hi]]
+            for lo, hi in text_groups(b.column(1)):
+                part = [t or "" for t in b.column(1).slice(lo, hi - lo).to_pylist()]
                 n, fit = [], []
                 for t in part:
                     cumulated = c.cumulative(t)

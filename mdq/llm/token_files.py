@@ -127,9 +127,9 @@ def write_token_files(docs: DataFrame, root: str, path: str | None = None, end_i
 
         held = 0
         for b in batches:
-            texts, names = b.column(1).to_pylist(), b.column(0).to_pylist()
+            texts, names = b.column(1), b.column(0).to_pylist()
             for lo, hi in text_groups(texts):
-                for d, x in zip(names[lo:hi], enc.encode([t or "" for t in texts[lo:hi]])):
+                for d, x in zip(names[lo:hi], enc.encode(texts.slice(lo, hi - lo))):
                     doc_ids.append(d)
                     ids.append(x + end)
                     lengths.append(len(x) // 4 + 1)
