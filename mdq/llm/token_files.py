@@ -28,7 +28,7 @@ from mdq.llm.tokens import BYTE_BPE, encoder, text_groups, vocabulary
 
 MAGIC = b"FRVB0001"
 END_ID = 2
-TOKENS_PER_FILE = 4_000_000
+TOKENS_PER_FILE = 2_000_000
 
 #: For each control byte, the length codes (0 to 3: 1 to 4 bytes) of its four ranks.
 CODES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8)

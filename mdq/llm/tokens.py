@@ -82,7 +82,7 @@ class PieceEncoder:
     its whole chain. Texts with other white space are cut by a regular
     expression, or not at all, one by one."""
 
-    def __init__(self, path: str, spaces: bool, memo_size: int = 700_000):
+    def __init__(self, path: str, spaces: bool, memo_size: int = 500_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -167,7 +167,7 @@ def encoder(path: str, spaces: bool) -> PieceEncoder:
     return _ENCODERS[path, spaces]
 
 
-def text_groups(texts: pa.Array, max_bytes: int = 16_000_000):
+def text_groups(texts: pa.Array, max_bytes: int = 12_000_000):
     """Ranges (start, end) of an array of texts that hold about ``max_bytes``."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
