@@ -45,29 +45,32 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rank_of = np.zeros(len(counts), np.uint32)
     rank_of[table] = np.arange(len(table), dtype=np.uint32)
     ranks = rank_of[ids]
-    code = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    four = np.zeros(-(-len(ids) // 4) * 4, np.uint8)
-    four[:len(ids)] = code
-    four = four.reshape(-1, 4)
+    width = sum(len(table) > 1 << 8 * b for b in (1, 2, 3))        # longest code in use
+    code = np.zeros(-(-len(ids) // 4) * 4, np.uint8)
+    for b in range(1, width + 1):
+        code[:len(ids)] += ranks > (1 << 8 * b) - 1
+    four = code.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    ends = np.cumsum(code, dtype=np.int64) + np.arange(1, len(ids) + 1)
-    at = ends - code - 1
-    data = np.zeros(int(ends[-1]) if len(ids) else 0, np.uint8)
-    data[at] = ranks & 0xFF
-    for b in (1, 2, 3):
+    code = code[:len(ids)]
+    kind = np.int32 if len(ids) < 1 << 28 else np.int64
+    ends = np.cumsum(code, dtype=kind)
+    at = ends - code + np.arange(len(ids), dtype=kind)
+    data = np.zeros(int(ends[-1]) + len(ids) if len(ids) else 0, np.uint8)
+    data[at] = ranks.astype(np.uint8)
+    for b in range(1, width + 1):
         more = np.flatnonzero(code >= b)
-        data[at[more] + b] = (ranks[more] >> np.uint32(8 * b)) & 0xFF
+        data[at[more] + b] = (ranks[more] >> np.uint32(8 * b)).astype(np.uint8)
     return table, control.astype(np.uint8), data
 
 
 def unpack(table: np.ndarray, control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     code = CODES[control].reshape(-1)[:n]
-    at = np.cumsum(code, dtype=np.int64) - code + np.arange(n)
+    kind = np.int32 if n < 1 << 28 else np.int64
+    at = np.cumsum(code, dtype=kind) - code + np.arange(n, dtype=kind)
     padded = np.concatenate([data, np.zeros(3, np.uint8)])
     ranks = padded[at].astype(np.uint32)
-    for b in (1, 2, 3):
-        if (code >= b).any():
-            ranks |= padded[at + b].astype(np.uint32) << np.uint32(8 * b)
+    for b in range(1, int(code.max(initial=0)) + 1):
+        ranks |= padded[at + kind(b)].astype(np.uint32) << np.uint32(8 * b)
     return table[ranks & MASKS[code]]
 
 
@@ -134,10 +137,10 @@ def write_token_files(docs: DataFrame, root: str, path: str | None = None, end_i
                     ids.append(x + end)
                     lengths.append(len(x) // 4 + 1)
                     held += lengths[-1]
-                if held >= tokens_per_file:
-                    yield flush()
-                    part, held = part + 1, 0
-                    doc_ids, ids, lengths = [], [], []
+                    if held >= tokens_per_file:
+                        yield flush()
+                        part, held = part + 1, 0
+                        doc_ids, ids, lengths = [], [], []
         if doc_ids:
             yield flush()
 
