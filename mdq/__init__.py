@@ -8,7 +8,6 @@ functions/  column helpers: blank tests, system-scope predicates, flags
 operators/  the 31 quality rules, one DataFrame function each
 plans/      the pipeline around the rules: catalog, suite, conformed view,
             scorecard, dated history
-streaming/  incremental historisation of suite snapshots
 oracle/     DuckDB SQL used only to check results
 """
 

@@ -31,6 +31,13 @@ def is_blank(c) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
+def is_missing(c) -> Column:
+    """NULL, or blank as text. A typed column is never blank; a date or number
+    that arrives as text may be."""
+    c = _c(c)
+    return c.isNull() | (F.trim(c.cast("string")) == "")
+
+
 def first_match(*conditions: Column) -> Column:
     """Searched CASE that yields 1 at the first true condition, else 0.
 
@@ -48,13 +55,14 @@ def ok_only_if(cond: Column) -> Column:
 
 
 def result(df: DataFrame, ss, gmid, label: str, completeness, accuracy,
-           distinct: bool = True) -> DataFrame:
-    """Project to the five-column result of a rule."""
+           distinct: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
+    """Project to the five-column result of a rule (and the columns ``also``)."""
     out = df.select(
         _c(ss).cast("string").alias("SOURCE_SYSTEM"),
         _c(gmid).cast("string").alias("GMID"),
         F.lit(label).alias("ATTRIBUTE"),
         _c(completeness).cast("int").alias("COMPLETENESS"),
         _c(accuracy).cast("int").alias("ACCURACY"),
+        *also,
     )
     return out.distinct() if distinct else out

@@ -19,13 +19,18 @@ class Rule:
     label: str              # ATTRIBUTE value the rule emits
     fn: Callable
     uses_as_of: bool = False  # result depends on the evaluation date
+    distinct_fn: Callable | None = None  # the same rows without their multiplicities
+
+    def rows(self, t, as_of=None):
+        """The rule's rows for uses that do not count duplicates."""
+        return self.distinct_fn(t) if self.distinct_fn else self.fn(t, as_of)
 
 
 _DATED = {"BDATU", "LOEKZ", "NOTKZ", "PRDAT", "from_gmid code", "order policy"}
 
 
-def _r(key, attribute, label, fn):
-    return Rule(key, attribute, label, fn, attribute in _DATED)
+def _r(key, attribute, label, fn, distinct_fn=None):
+    return Rule(key, attribute, label, fn, attribute in _DATED, distinct_fn)
 
 
 RULES: dict[str, Rule] = {r.key: r for r in [
@@ -51,7 +56,7 @@ RULES: dict[str, Rule] = {r.key: r for r in [
     _r("dq_uebto", "UEBTO", "UEBTO", pir.dq_uebto),
     _r("dq_umren", "UMREN", "UMREN", material.dq_umren),
     _r("dq_umrez", "UMREZ", "UMREZ", material.dq_umrez),
-    _r("dq_untto", "UNTTO", "UNTTO", pir.dq_untto),
+    _r("dq_untto", "UNTTO", "UNTTO", pir.dq_untto, pir.untto_counts),
     _r("dq_vdatu", "VDATU", "VDATU", source_list.dq_vdatu),
     _r("dq_dock_to_stock", "dock to stock lead time", "dock to stock lead time", bod.dq_dock_to_stock),
     _r("dq_effective_end_date", "effective end date", "effective end date", bod.dq_effective_end_date),

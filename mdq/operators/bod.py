@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mdq.functions import as_of_col, first_match, is_blank, ok_only_if, result
+from mdq.functions import as_of_col, first_match, is_blank, is_missing, ok_only_if, result
 from mdq.functions.scope import kinaxis
-from mdq.operators.joins import broadcast_if_small
 from mdq.sources.tables import Tables
 
 SS = "SOURCE_SYSTEM"
@@ -41,18 +40,19 @@ def dq_dock_to_stock(t: Tables, as_of=None) -> DataFrame:
                      col("MTART").isin("SF", "AI").alias("_sf_ai"))
              .distinct())
     df = bod.join(plant, (bod["GMID"] == plant["_mkey"]) & (bod["_site"] == plant["_werks"]), "left")
-    dts = col("DOCK_TO_STOCK_LEAD_TIME").try_cast("decimal(38,0)")
+    is_number = col("DOCK_TO_STOCK_LEAD_TIME").try_cast("decimal(38,0)").isNotNull()
+    dts = col("DOCK_TO_STOCK_LEAD_TIME").try_cast("decimal(38,10)")     # fractions count in the comparison
     webaz = col("WEBAZ")
     c = first_match(col("DOCK_TO_STOCK_LEAD_TIME").isNull())
-    a = ok_only_if(dts.isNotNull() & webaz.isNotNull() & ~(col("_sf_ai") & (webaz == 0)) & (dts == webaz))
+    a = ok_only_if(is_number & webaz.isNotNull() & ~(col("_sf_ai") & (webaz == 0)) & (dts == webaz))
     return result(df, bod[SS], "GMID", "dock to stock lead time", c, a)
 
 
 def dq_effective_end_date(t: Tables, as_of=None) -> DataFrame:
     """R26 effective-out date of lanes of planning-relevant parts."""
-    parts = broadcast_if_small(t.part_dim.where(col("RELEVANCYKNX") == "1").select("GMID").distinct())
+    parts = t.part_dim.where(col("RELEVANCYKNX") == "1").select("GMID").distinct()
     df = t.bod.where(kinaxis()).join(parts, "GMID", "left_semi")
-    missing = col("EFFECTIVE_OUT_DATE").isNull()
+    missing = is_missing("EFFECTIVE_OUT_DATE")
     c = first_match(missing)
     a = first_match(col("TYPE").isin(*LANE_TYPES_NEEDING_END) & missing,
                     (col("ORDER_POLICY") != NO_ORDERS) & missing)
@@ -66,8 +66,7 @@ def dq_from_gmid(t: Tables, as_of=None) -> DataFrame:
     ein, eout = col("EFFECTIVE_IN_DATE"), col("EFFECTIVE_OUT_DATE")
     bod = (t.bod.where((ein.isNull() | (ein <= d)) & (eout.isNull() | (eout >= d)))
            .select(SS, "GMID", "FROM_GMID"))
-    mat = broadcast_if_small(
-        t.material.select(_strip_zeros(col("GMID_CODE")).alias("FROM_GMID"), "IS_ACTIVE").distinct())
+    mat = t.material.select(_strip_zeros(col("GMID_CODE")).alias("FROM_GMID"), "IS_ACTIVE").distinct()
     df = bod.join(mat, "FROM_GMID", "left")
     c = first_match(is_blank("FROM_GMID"))
     a = ok_only_if(col("FROM_GMID").isNotNull() & (col("IS_ACTIVE") == F.lit(True)))
@@ -93,33 +92,30 @@ def dq_to_site(t: Tables, as_of=None) -> DataFrame:
     return _site_checks(t, "SITE", "SITE_UID", "to_site")
 
 
-def active_part_sites(t: Tables, as_of=None) -> DataFrame:
-    """(part, site) with positive total demand or positive future forecast."""
-    def split(df, qty):
-        g = col("GMID")
-        return df.select(F.split_part(g, F.lit("|"), F.lit(1)).alias("partname"),
-                         F.split_part(g, F.lit("|"), F.lit(2)).alias("partsite"), qty)
-    demand = (split(t.demand, "BALANCE_DELTA").groupBy("partname", "partsite")
-              .agg(F.sum("BALANCE_DELTA").alias("demand_qty")).where(col("demand_qty") > 0))
-    fcst = (split(t.forecast.where(col("FORECAST_DATE") > as_of_col(as_of)), "EFFECTIVE_QUANTITY")
-            .groupBy("partname", "partsite")
-            .agg(F.sum("EFFECTIVE_QUANTITY").alias("fcst_qty")).where(col("fcst_qty") > 0))
-    both = demand.join(fcst, ["partname", "partsite"], "full")
-    return both.where((F.coalesce(col("demand_qty"), F.lit(0)) > 0) | (F.coalesce(col("fcst_qty"), F.lit(0)) > 0))
+def active_lanes(t: Tables, as_of=None) -> DataFrame:
+    """(part, site) pairs that are in use: their demand adds up to more than
+    nothing, or their forecast after the as-of date does. One aggregation over
+    both quantities."""
+    zero = F.lit(0)
+    moves = t.demand.select("GMID", col("BALANCE_DELTA").alias("needed"), zero.alias("planned")).unionByName(
+        t.forecast.where(col("FORECAST_DATE") > as_of_col(as_of))
+        .select("GMID", zero.alias("needed"), col("EFFECTIVE_QUANTITY").alias("planned")))
+    part = lambda i: F.split_part(col("GMID"), F.lit("|"), F.lit(i))
+    return (moves.groupBy(part(1).alias("PART"), part(2).alias("SITE"))
+            .agg(F.sum("needed").alias("needed"), F.sum("planned").alias("planned"))
+            .where((col("needed") > 0) | (col("planned") > 0)).select("PART", "SITE"))
 
 
 def dq_order_policy(t: Tables, as_of=None) -> DataFrame:
-    """R29 order policy of active (part, site) lanes (bag). Accuracy is KO
-    only for a 'NoOrders' lane that is current and starts within 3 years."""
+    """R29 order policy of the lanes in use (bag). Accuracy is KO only for a
+    'NoOrders' lane that is current and starts within 3 years."""
     d = as_of_col(as_of)
-    lanes = t.bod.select(col("GMID").alias("partname"), col("SITE").alias("partsite"), SS,
-                         "ORDER_POLICY", "EFFECTIVE_IN_DATE", "EFFECTIVE_OUT_DATE")
-    df = active_part_sites(t, as_of).select("partname", "partsite").join(lanes, ["partname", "partsite"])
+    lanes = t.bod.select(col("GMID").alias("PART"), "SITE", SS, "ORDER_POLICY", "EFFECTIVE_IN_DATE", "EFFECTIVE_OUT_DATE")
+    df = lanes.join(active_lanes(t, as_of), ["PART", "SITE"])
     policy = F.coalesce(F.trim(col("ORDER_POLICY")), F.lit(""))
-    c = first_match(policy == "")
-    a = ok_only_if((policy != NO_ORDERS) | (col("EFFECTIVE_OUT_DATE") < d)
-                   | (col("EFFECTIVE_IN_DATE") > F.add_months(d, 36)))
-    return result(df, SS, "partname", "order policy", c, a, distinct=False)
+    stopped = (policy == NO_ORDERS) & F.coalesce(col("EFFECTIVE_OUT_DATE") >= d, F.lit(True)) \
+        & F.coalesce(col("EFFECTIVE_IN_DATE") <= F.add_months(d, 36), F.lit(True))
+    return result(df, SS, "PART", "order policy", first_match(policy == ""), first_match(stopped), distinct=False)
 
 
 def dq_to_gmid(t: Tables, as_of=None) -> DataFrame:
@@ -128,9 +124,8 @@ def dq_to_gmid(t: Tables, as_of=None) -> DataFrame:
     The reference's WHERE on the outer-joined side makes the join inner; as
     no material column is output, it is a semi join on the active keys.
     """
-    active = broadcast_if_small(
-        t.material.where(col("IS_ACTIVE") == F.lit(True))
-        .select(col("GMID_CODE").try_cast("decimal(38,0)").alias("_key")).distinct())
+    active = (t.material.where(col("IS_ACTIVE") == F.lit(True))
+              .select(col("GMID_CODE").try_cast("decimal(38,0)").alias("_key")).distinct())
     bod = t.bod.where(kinaxis()).withColumn("_key", col("GMID").try_cast("decimal(38,0)"))
     df = bod.join(active, "_key", "left_semi")
     g = col("GMID")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mdq.functions import first_match, is_blank, result
-from mdq.operators.joins import broadcast_if_small, expand_flag_pairs, flag_presence
+from mdq.operators.joins import expand_flag_pairs, flag_presence
 from mdq.sources.tables import Tables
 
 SS, MATNR = "SOURCE_SYSTEM", "MATNR"
@@ -22,7 +22,7 @@ def dq_kapid(t: Tables, as_of=None) -> DataFrame:
     inner join (splittable on both sides) plus the capacities without any
     link (anti join against the distinct link keys), with GMID NULL.
     """
-    crca = broadcast_if_small(t.crca.select(SS, "KAPID", F.lit(True).alias("_in_crca")).distinct())
+    crca = t.crca.select(SS, "KAPID", F.lit(True).alias("_in_crca")).distinct()
     checked = (t.kako.select(SS, "KAPID")
                .join(crca, ["KAPID", SS], "left")
                .select(SS, "KAPID",
@@ -32,9 +32,7 @@ def dq_kapid(t: Tables, as_of=None) -> DataFrame:
     links = (t.pp_tabs.select(col("MARA_SOURCE_SYSTEM").alias(SS), col("KAKO_KAPID").alias("KAPID"),
                               col("MARA_MATNR").alias("GMID"))
              .distinct())
-    # The checked capacities are bounded by the number of capacities; when
-    # within the broadcast bound the links stream past them without a shuffle.
-    linked = links.join(broadcast_if_small(checked), ["KAPID", SS])
+    linked = links.join(checked, ["KAPID", SS])
     unlinked = (checked.join(links.select("KAPID", SS).distinct(), ["KAPID", SS], "left_anti")
                 .withColumn("GMID", F.lit(None).cast("string")))
     df = linked.unionByName(unlinked)
@@ -61,11 +59,10 @@ def dq_lvorm(t: Tables, as_of=None) -> DataFrame:
     athena, extra = _upper_scope()
     lv = col("LVORM")
     c_set = lv.isNotNull() & (F.trim(lv) != "")
-    per_plant = broadcast_if_small(
-        t.crhd.where(((col("OBJTY") == "A") & athena) | extra)
-        .where(col("WERKS").isNotNull())
-        .groupBy(SS, "WERKS")
-        .agg(*flag_presence(c_set, ~c_set, lv.isNotNull(), lv.isNull())))
+    per_plant = (t.crhd.where(((col("OBJTY") == "A") & athena) | extra)
+                 .where(col("WERKS").isNotNull())
+                 .groupBy(SS, "WERKS")
+                 .agg(*flag_presence(c_set, ~c_set, lv.isNotNull(), lv.isNull())))
     m_athena, m_extra = _upper_scope()
     mara = t.mara.where((col("LVORM").isNotNull() & m_athena) | m_extra).select(SS, MATNR).distinct()
     marc = t.marc.where(col("WERKS").isNotNull()).select(MATNR, "WERKS").distinct()

@@ -1,32 +1,10 @@
-"""Join helpers: size-checked broadcast and flag-set expansion."""
+"""Flag-set expansion for rules that pair check values per material."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS_CONF = "spark.mdq.broadcastMaxRows"
-BROADCAST_MAX_ROWS_DEFAULT = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking its size.
-
-    ``df`` is a reduced dimension (distinct keys and codes). It is cached,
-    its rows are counted (``limit`` stops the count early on a large input),
-    and only a side within the bound is broadcast, from the cache. A larger
-    side is released and joins by shuffle, where AQE can still split skewed
-    partitions. The bound comes from ``spark.mdq.broadcastMaxRows``.
-    """
-    if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS_DEFAULT)))
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
-
 
 def _any(cond: Column) -> Column:
     return F.coalesce(F.bool_or(cond), F.lit(False))

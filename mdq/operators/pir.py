@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mdq.functions import as_of_col, first_match, is_blank, ok_only_if, result
 from mdq.functions.scope import active_pir, contains_scope, prefix_scope
-from mdq.operators.joins import broadcast_if_small, expand_flag_pairs, flag_presence
+from mdq.operators.joins import expand_flag_pairs, flag_presence
 from mdq.sources.tables import Tables
 
 SS, INFNR, MATNR = "SOURCE_SYSTEM", "INFNR", "MATNR"
@@ -34,7 +34,10 @@ def _active(df: DataFrame) -> DataFrame:
 
 def dq_aplfz(t: Tables, as_of=None) -> DataFrame:
     """R01 planned delivery time (EINE.APLFZ) against the plant data (MARC)."""
-    base = _active(_pir(t, MATNR, "APLFZ", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
+    # Only the values matter: a hot material (or the NULL one) is down to its
+    # distinct values before the join, by map-side aggregation.
+    base = (_active(_pir(t, MATNR, "APLFZ", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
+            .select(SS, MATNR, "APLFZ").distinct())
     # MARC carries one row per plant; keep only the values the flags read.
     marc = t.marc.select(SS, MATNR, "PLIFZ", (col("BESKZ") == "F").alias("_ext")).distinct()
     df = base.join(marc, [MATNR, SS], "left")
@@ -80,7 +83,7 @@ def dq_bstae(t: Tables, as_of=None) -> DataFrame:
     are reduced to distinct (key, value) first.
     """
     eine = t.eine.where(prefix_scope()).select(SS, INFNR, "EKORG", "BSTAE")
-    vm = broadcast_if_small(t.lfm2.select("EKORG", col("BSTAE").alias("_VM_BSTAE")).distinct())
+    vm = t.lfm2.select("EKORG", col("BSTAE").alias("_VM_BSTAE")).distinct()
     bstae, vm_bstae = col("BSTAE"), col("_VM_BSTAE")
     checked = (eine.join(vm, "EKORG", "left")
                .select(SS, INFNR,
@@ -116,8 +119,7 @@ def dq_loekz(t: Tables, as_of=None) -> DataFrame:
     distinct (system, plant, plant-flag-blank) values, at most two per plant.
     """
     eine = t.eine.where(col("PRDAT") < as_of_col(as_of)).select(SS, "WERKS", INFNR, "LOEKZ")
-    plants = broadcast_if_small(
-        t.marc.select(SS, "WERKS", (F.coalesce(col("LVORM"), F.lit("")) == "").alias("_plant_open")).distinct())
+    plants = t.marc.select(SS, "WERKS", (F.coalesce(col("LVORM"), F.lit("")) == "").alias("_plant_open")).distinct()
     df = eine.join(plants, [SS, "WERKS"])
     infnr = F.coalesce(col(INFNR), F.lit(""))
     c = first_match(infnr == "")
@@ -150,7 +152,7 @@ def dq_minbm(t: Tables, as_of=None) -> DataFrame:
     """
     eine = t.eine.select(SS, INFNR, "WERKS", "MINBM")
     pir = t.eina.select(INFNR, MATNR).distinct()
-    mara = t.mara.select(MATNR, col(MATNR).alias("GMID")).distinct()
+    mara = t.mara.select(MATNR).distinct().withColumn("GMID", col(MATNR))
     marc = t.marc.select(MATNR, "WERKS", "BSTRF").distinct()
     df = (eine.join(pir, INFNR, "left")
           .join(mara, MATNR, "left")
@@ -183,7 +185,8 @@ def dq_peinh(t: Tables, as_of=None) -> DataFrame:
 
 def dq_prdat(t: Tables, as_of=None) -> DataFrame:
     """R18 price valid until: later than as-of + 5 days + goods-receipt time."""
-    base = _active(_pir(t, MATNR, "PRDAT", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
+    base = (_active(_pir(t, MATNR, "PRDAT", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
+            .select(SS, MATNR, "PRDAT").distinct())
     marc = t.marc.select(SS, MATNR, "WEBAZ").distinct()
     df = base.join(marc, [MATNR, SS], "left")
     p = col("PRDAT")
@@ -197,13 +200,12 @@ def dq_uebtk(t: Tables, as_of=None) -> DataFrame:
     """R19 unlimited overdelivery: KO unless set to 'X' on an existing PIR.
     (The reference also joins MARA without reading it; that join changes no
     row under DISTINCT and is left out.)"""
-    eine = t.eine.select(SS, INFNR, "UEBTK")
-    pir = t.eina.select(INFNR, MATNR).distinct()
-    df = eine.join(pir, INFNR, "left")
     i = col(INFNR)
     c = first_match(is_blank("UEBTK"))
     a = ok_only_if(i.isNotNull() & (F.trim(i) != "") & (col("UEBTK") == "X"))
-    return result(df, SS, MATNR, "UEBTK", c, a)
+    checked = t.eine.select(SS, INFNR, c.alias("_C"), a.alias("_A")).distinct()
+    df = checked.join(t.eina.select(INFNR, MATNR).distinct(), INFNR, "left")
+    return result(df, SS, MATNR, "UEBTK", "_C", "_A")
 
 
 def dq_uebto(t: Tables, as_of=None) -> DataFrame:
@@ -217,22 +219,37 @@ def dq_uebto(t: Tables, as_of=None) -> DataFrame:
     return result(df, SS, MATNR, "UEBTO", c, a, distinct=False)
 
 
-def dq_untto(t: Tables, as_of=None) -> DataFrame:
-    """R23 underdelivery tolerance against the plant value (bag).
+def untto_counts(t: Tables) -> DataFrame:
+    """R23 without multiplicities: SOURCE_SYSTEM, GMID, flags and how many
+    rows of the bag have them (column _n).
 
-    The reference joins the active general data twice on the same key, so a
-    PIR with k active EINA rows yields each (PIR, EINA) pair k times. The
-    count k is aggregated per key and the pairs are repeated k times instead
-    of being produced by a second join.
+    The rule joins the active general data twice on the same key, so a PIR
+    with k active rows yields each (PIR, EINA) pair k times. Every input is
+    counted per value before it is joined; no pair is ever produced twice and
+    a hot info record or material is combined before the shuffle.
     """
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "UNTTO")
-    act = t.eina.where(active_pir() & prefix_scope()).select(SS, INFNR, col(MATNR).alias("GMID"))
-    k = act.groupBy(SS, INFNR).agg(F.count(F.lit(1)).alias("_k"))
-    marc = t.marc.where(prefix_scope()).select(SS, col(MATNR).alias("GMID"), col("UNETO").alias("_MM_UNETO"))
-    df = (eine.join(act, [INFNR, SS]).join(k, [INFNR, SS])
-          .join(marc, ["GMID", SS], "left")
-          .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), col("_k").cast("int")))))
+    eine = t.eine.where(prefix_scope()).groupBy(SS, INFNR, "UNTTO").agg(F.count("*").alias("_e"))
+    act = (t.eina.where(active_pir() & prefix_scope())
+           .groupBy(SS, INFNR, col(MATNR).alias("GMID")).agg(F.count("*").alias("_p")))
+    k = t.eina.where(active_pir() & prefix_scope()).groupBy(SS, INFNR).agg(F.count("*").alias("_k"))
+    pairs = (eine.join(act, [INFNR, SS]).join(k, [INFNR, SS])
+             .groupBy(SS, "GMID", "UNTTO").agg(F.sum(col("_e") * col("_p") * col("_k")).alias("_n")))
+    marc = (t.marc.where(prefix_scope()).groupBy(SS, col(MATNR).alias("GMID"), col("UNETO").alias("_MM_UNETO"))
+            .agg(F.count("*").alias("_m")))
+    df = pairs.join(marc, ["GMID", SS], "left")
     u, m = col("UNTTO"), col("_MM_UNETO")
     c = first_match(u.isNull())
     a = first_match(u.isNull(), (u < 5) | (u > 10), m.isNull(), u != m)
-    return result(df, SS, "GMID", "UNTTO", c, a, distinct=False)
+    return (result(df.withColumn("_C", c).withColumn("_A", a).withColumn("_n", col("_n") * F.coalesce(col("_m"), F.lit(1))),
+                   SS, "GMID", "UNTTO", "_C", "_A", distinct=False, also=("_n",))
+            .groupBy("SOURCE_SYSTEM", "GMID", "ATTRIBUTE", "COMPLETENESS", "ACCURACY").agg(F.sum("_n").alias("_n")))
+
+
+def dq_untto(t: Tables, as_of=None) -> DataFrame:
+    """R23 underdelivery tolerance against the plant value (bag): the counted
+    rows, expanded in blocks of 1,024 so that no row holds a long array."""
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(_n - 1) div 1024")))
+    left = F.least(F.lit(1024), col("_n") - col("_block") * 1024).cast("int")
+    return (untto_counts(t).withColumn("_block", block)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), left)))
+            .drop("_n", "_block", "_copy"))

@@ -1,21 +1,46 @@
-"""Oracle SQL (DuckDB) for the suite, conformed view, scorecard and history."""
+"""Oracle SQL (DuckDB) for the suite, conformed view, scorecard, KO listing and history.
+
+The catalog values here are written from the rule metadata by themselves, not
+taken from the engine's catalog."""
 
 from __future__ import annotations
 
-from mdq.oracle.rules_sql import rule_sql
-from mdq.plans.catalog import catalog_sql, enabled_rules
+from mdq.oracle.rules_sql import RULE_KEYS, rule_sql
+
+# What the 31 rules have in common, and the exceptions.
+CATALOG = """
+SELECT attribute,
+  CASE attribute WHEN 'LOEKZ' THEN 'deactivation flag' WHEN 'MEINS' THEN 'MEINS_EINA'
+                 WHEN 'to_gmid code' THEN 'to_gmid_code' ELSE attribute END AS label,
+  CASE attribute WHEN 'MEINS' THEN 'Customer Fulfillment' ELSE 'Planning' END AS class,
+  CASE attribute WHEN 'dock to stock lead time' THEN 'Medium' ELSE 'High' END AS criticality,
+  CAST(1.0 AS DOUBLE) AS criticality_number,
+  CASE attribute WHEN 'LVORM' THEN 'OK=1' ELSE 'KO=1' END AS polarity
+FROM (VALUES ('APLFZ'), ('BDATU'), ('BPUMN'), ('BPUMZ'), ('BSTAE'), ('EFFPR'), ('KAPID'), ('LMEIN'), ('LOEKZ'), ('LVORM'),
+  ('MEINS'), ('MEPRF'), ('MHDRZ_EINE'), ('MINBM'), ('NETPR'), ('NOTKZ'), ('PEINH'), ('PRDAT'), ('UEBTK'), ('UEBTO'),
+  ('UMREN'), ('UMREZ'), ('UNTTO'), ('VDATU'), ('dock to stock lead time'), ('effective end date'), ('from_gmid code'),
+  ('from_site'), ('order policy'), ('to_gmid code'), ('to_site')) AS names(attribute)"""
+DISABLED = ("dq_loekz",)
 
 
 def suite_sql(as_of: str) -> str:
-    parts = [f"SELECT * FROM (\n{rule_sql(r.key, as_of)}\n) AS q{i}" for i, r in enumerate(enabled_rules())]
+    parts = [f"SELECT * FROM (\n{rule_sql(k, as_of)}\n) AS q{i}" for i, k in enumerate(RULE_KEYS) if k not in DISABLED]
     return "\nUNION ALL\n".join(parts)
 
 
+def ko_listing_sql(as_of: str) -> str:
+    return f"""
+WITH conf AS ({conformed_sql(as_of)}), cat AS ({CATALOG})
+SELECT cat.class AS CLASS, cat.criticality AS CRITICALITY, conf.ATTRIBUTE, SOURCE_SYSTEM, GMID, COMPLETENESS, ACCURACY
+FROM conf JOIN cat ON conf.ATTRIBUTE = cat.attribute
+WHERE COMPLETENESS = 1 OR ACCURACY = 1"""
+
+
 def conformed_sql(as_of: str, snapshot: bool = False) -> str:
     snap = f"DATE '{as_of}' AS SNAPSHOT_DATE, " if snapshot else ""
     return f"""
 WITH suite AS ({suite_sql(as_of)}),
-cat AS ({catalog_sql()})
+cat AS ({CATALOG})
 SELECT {snap}s.SOURCE_SYSTEM, s.GMID, c.attribute AS ATTRIBUTE,
   CAST(MAX(CASE WHEN c.polarity = 'OK=1' THEN 1 - s.COMPLETENESS ELSE s.COMPLETENESS END) AS INTEGER) AS COMPLETENESS,
   CAST(MAX(CASE WHEN c.polarity = 'OK=1' THEN 1 - s.ACCURACY ELSE s.ACCURACY END) AS INTEGER) AS ACCURACY
@@ -30,11 +55,11 @@ def _rate(ko: str, n: str) -> str:
 def scorecard_sql(as_of: str) -> str:
     return f"""
 WITH conf AS ({conformed_sql(as_of)}),
-cat AS ({catalog_sql()}),
-x AS (SELECT conf.*, cat.class AS CLASS, CAST(ROUND(cat.criticality_number * 1000) AS BIGINT) AS w,
+cat AS ({CATALOG}),
+x AS (SELECT conf.*, cat.class AS CLASS, cat.criticality AS CRITICALITY, CAST(ROUND(cat.criticality_number * 1000) AS BIGINT) AS w,
              GREATEST(conf.COMPLETENESS, COALESCE(conf.ACCURACY, 0)) AS ko_any
       FROM conf JOIN cat ON conf.ATTRIBUTE = cat.attribute),
-g AS (SELECT CLASS, ATTRIBUTE, CAST(GROUPING(CLASS, ATTRIBUTE) AS INTEGER) AS LEVEL,
+g AS (SELECT CLASS, CRITICALITY, ATTRIBUTE, CAST(GROUPING(CLASS, CRITICALITY, ATTRIBUTE) AS INTEGER) AS LEVEL,
              COUNT(*) AS N_KEYS,
              CAST(SUM(COMPLETENESS) AS BIGINT) AS COMPLETENESS_KO,
              CAST(SUM(ACCURACY) AS BIGINT) AS ACCURACY_KO,
@@ -42,8 +67,8 @@ g AS (SELECT CLASS, ATTRIBUTE, CAST(GROUPING(CLASS, ATTRIBUTE) AS INTEGER) AS LE
              CAST(SUM(ko_any) AS BIGINT) AS ANY_KO,
              CAST(SUM(w) AS BIGINT) AS W_TOTAL,
              CAST(SUM(w * ko_any) AS BIGINT) AS W_KO
-      FROM x GROUP BY ROLLUP (CLASS, ATTRIBUTE))
-SELECT CLASS, ATTRIBUTE, LEVEL, N_KEYS, COMPLETENESS_KO, ACCURACY_KO, ACCURACY_CHECKED, ANY_KO,
+      FROM x GROUP BY GROUPING SETS ((CLASS, CRITICALITY, ATTRIBUTE), (CLASS), (CRITICALITY), ()))
+SELECT CLASS, CRITICALITY, ATTRIBUTE, LEVEL, N_KEYS, COMPLETENESS_KO, ACCURACY_KO, ACCURACY_CHECKED, ANY_KO,
   {_rate('COMPLETENESS_KO', 'N_KEYS')} AS COMPLETENESS_RATE,
   {_rate('ACCURACY_KO', 'NULLIF(ACCURACY_CHECKED, 0)')} AS ACCURACY_RATE,
   {_rate('W_KO', 'W_TOTAL')} AS WEIGHTED_OK_RATE

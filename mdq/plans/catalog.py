@@ -87,18 +87,3 @@ def catalog_df(spark: SparkSession) -> DataFrame:
 def enabled_rules():
     on = {m[0] for m in _METADATA if m[8]}
     return [r for r in RULES.values() if r.attribute in on]
-
-
-def catalog_sql() -> str:
-    """The catalog as a DuckDB VALUES list with the same schema."""
-    def lit(v):
-        if v is None:
-            return "NULL"
-        if isinstance(v, bool):
-            return "TRUE" if v else "FALSE"
-        if isinstance(v, float):
-            return f"CAST({v} AS DOUBLE)"
-        return "'" + str(v).replace("'", "''") + "'"
-    rows = ",\n  ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in catalog_rows())
-    cols = ", ".join(f.name for f in CATALOG_SCHEMA.fields)
-    return f"SELECT * FROM (VALUES\n  {rows}) AS cat({cols})"

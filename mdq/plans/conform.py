@@ -51,7 +51,7 @@ def conformed_rule(df: DataFrame, rule) -> DataFrame:
 
 def conformed_suite(t, as_of=None, rules=None) -> DataFrame:
     rules = enabled_rules() if rules is None else rules
-    return reduce(DataFrame.unionByName, [conformed_rule(r.fn(t, as_of), r) for r in rules])
+    return reduce(DataFrame.unionByName, [conformed_rule(r.rows(t, as_of), r) for r in rules])
 
 
 def conformed_at_dates(t, dates, rules=None) -> DataFrame:

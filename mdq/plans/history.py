@@ -10,6 +10,8 @@ the flags differ or the key is absent, NULL while still current.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +27,9 @@ HISTORY_DATES = ("1998-06-30", "1998-12-31", "1999-06-30")
 
 
 def write_snapshot(conf: DataFrame, root: str, as_of: str) -> None:
-    (conf.withColumn("SNAPSHOT_DATE", F.lit(as_of).cast("date"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("SNAPSHOT_DATE").parquet(root))
+    """Store the snapshot of one date. A rerun replaces that date's folder,
+    also when it now has no rows."""
+    conf.write.mode("overwrite").parquet(f"{root.rstrip('/')}/SNAPSHOT_DATE={as_of}")
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
@@ -97,57 +99,57 @@ def history_query(spark: SparkSession, sf_dir: str, dates=HISTORY_DATES) -> Data
 
 
 def advance_history(history: DataFrame | None, snapshot: DataFrame, as_of: str) -> DataFrame:
-    """Add one snapshot (taken at ``as_of``, later than every date in
-    ``history``) to the validity intervals, without rereading old snapshots.
-
-    Closed intervals pass through. Open intervals (VALID_TO NULL) are
-    full-outer-joined with the new snapshot on the key (null-safe: GMID may
-    be NULL): an interval stays open when the key is present with the same
-    flags, is closed at ``as_of`` when the flags differ or the key is absent,
-    and a new open interval starts at ``as_of`` for new or changed keys. The
-    work per run is proportional to the number of keys, not to the number of
-    snapshots taken so far. Equal to ``change_history`` over all dates.
+    """Add one snapshot, taken at ``as_of``, to the validity intervals, without
+    rereading old snapshots.
+
+    ``as_of`` must be later than every date in ``history``: a rerun of a date
+    starts from the history before it. Closed intervals pass through. Open
+    ones are joined once with the new snapshot on the key (null-safe: GMID may
+    be NULL), and each pair gives the interval that was open (left open if the
+    flags are the same, else closed at ``as_of``) and, for new or changed keys,
+    one that starts at ``as_of``. Equal to ``change_history`` over all dates.
     """
     d = F.lit(as_of).cast("date")
-    snap = snapshot.select(*KEY, col("COMPLETENESS").cast("int").alias("COMPLETENESS"),
-                           col("ACCURACY").cast("int").alias("ACCURACY"))
+    flags = ["COMPLETENESS", "ACCURACY"]
+    snap = snapshot.select(*KEY, *[col(c).cast("int").alias(c) for c in flags])
     if history is None:
-        return snap.select(*KEY, "COMPLETENESS", "ACCURACY", d.alias("VALID_FROM"),
-                           F.lit(None).cast("date").alias("VALID_TO"))
-    closed = history.where(col("VALID_TO").isNotNull())
-    o = history.where(col("VALID_TO").isNull()).alias("o")
-    n = snap.alias("n")
-    cond = None
-    for k in KEY:
-        c = F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))
-        cond = c if cond is None else cond & c
-    j = o.join(n, cond, "full")
-    has_o = F.col("o.VALID_FROM").isNotNull()
-    has_n = F.col("n.ATTRIBUTE").isNotNull()  # ATTRIBUTE is never NULL in a snapshot
-    same = (F.col("o.COMPLETENESS").eqNullSafe(F.col("n.COMPLETENESS"))
-            & F.col("o.ACCURACY").eqNullSafe(F.col("n.ACCURACY")))
-    old_part = j.where(has_o).select(
-        *[F.col(f"o.{k}").alias(k) for k in KEY], F.col("o.COMPLETENESS").alias("COMPLETENESS"),
-        F.col("o.ACCURACY").alias("ACCURACY"), F.col("o.VALID_FROM").alias("VALID_FROM"),
-        F.when(has_n & same, F.lit(None).cast("date")).otherwise(d).alias("VALID_TO"))
-    new_part = j.where(has_n & ~(has_o & same)).select(
-        *[F.col(f"n.{k}").alias(k) for k in KEY], F.col("n.COMPLETENESS").alias("COMPLETENESS"),
-        F.col("n.ACCURACY").alias("ACCURACY"), d.alias("VALID_FROM"), F.lit(None).cast("date").alias("VALID_TO"))
-    return closed.unionByName(old_part).unionByName(new_part)
+        return snap.select(*KEY, *flags, d.alias("VALID_FROM"), F.lit(None).cast("date").alias("VALID_TO"))
+    newest = history.agg(F.greatest(F.max("VALID_FROM"), F.max("VALID_TO")).cast("string").alias("d")).first()["d"]
+    if newest is not None and as_of <= newest:
+        raise ValueError(f"the history already reaches {newest}; {as_of} is not later")
+    o, n = history.where(col("VALID_TO").isNull()).alias("o"), snap.alias("n")
+    j = o.join(n, reduce(lambda a, b: a & b, [col(f"o.{k}").eqNullSafe(col(f"n.{k}")) for k in KEY]), "full")
+    has_o, has_n = col("o.VALID_FROM").isNotNull(), col("n.ATTRIBUTE").isNotNull()   # never NULL where the side is there
+    same = reduce(lambda a, b: a & b, [col(f"o.{c}").eqNullSafe(col(f"n.{c}")) for c in flags])
+
+    def row(side, start, end):
+        return F.struct(*[col(f"{side}.{c}").alias(c) for c in KEY + flags], start.alias("VALID_FROM"), end.cast("date").alias("VALID_TO"))
+    rows = F.array(F.when(has_o, row("o", col("o.VALID_FROM"), F.when(~(has_n & same), d))),
+                   F.when(has_n & ~(has_o & same), row("n", d, F.lit(None))))
+    moved = j.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
+    return history.where(col("VALID_TO").isNotNull()).select(moved.columns).unionByName(moved)
 
 
 def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None,
-              previous_history_root: str | None = None) -> DataFrame:
+              previous_history_root: str | None = None, new_history: bool = False) -> DataFrame:
     """One scheduled run: conformed suite -> dated snapshot -> history
-    (advanced from the previous run's history, when given) -> scorecard."""
+    (advanced from the previous run's) -> scorecard.
+
+    The history is written to a folder of its own. A first one is started only
+    on request (``new_history``), so a forgotten previous history is an error
+    and not a lost past. The suite reads tables and shared views that are
+    written once for the run."""
     from mdq.plans.catalog import catalog_df
-    from mdq.plans.conform import conformed_suite
     from mdq.plans.scorecard import scorecard
 
     spark = t.spark
-    write_snapshot(conformed_suite(t, as_of), snapshot_root, as_of)
-    snap = read_snapshots(spark, snapshot_root).where(col("SNAPSHOT_DATE") == F.lit(as_of).cast("date"))
+    if history_root and bool(previous_history_root) == new_history:
+        raise ValueError("give the previous history, or ask for a new one")
+    if history_root and history_root == previous_history_root:
+        raise ValueError("the new history needs a folder of its own")
+    write_snapshot(conformed_suite(t.materialize(), as_of), snapshot_root, as_of)
+    snap = spark.read.parquet(f"{snapshot_root.rstrip('/')}/SNAPSHOT_DATE={as_of}")
     if history_root:
         prev = spark.read.parquet(previous_history_root) if previous_history_root else None
-        advance_history(prev, snap.drop("SNAPSHOT_DATE"), as_of).write.mode("overwrite").parquet(history_root)
-    return scorecard(snap.drop("SNAPSHOT_DATE"), catalog_df(spark))
+        advance_history(prev, snap, as_of).write.mode("overwrite").parquet(history_root)
+    return scorecard(snap, catalog_df(spark))

@@ -1,5 +1,5 @@
-"""X4: scorecard - KO counts and OK rates per class and attribute, with
-class subtotals and a grand total (ROLLUP)."""
+"""X4: scorecard - KO counts and OK rates per attribute, class and criticality,
+with a grand total; the KO keys behind it; and the rates over time."""
 
 from __future__ import annotations
 
@@ -21,12 +21,20 @@ def _rate(ko: str, n: str):
                   ).cast("decimal(9,4)")
 
 
-def scorecard(conf: DataFrame, catalog: DataFrame) -> DataFrame:
-    cat = F.broadcast(catalog.select(col("attribute").alias("ATTRIBUTE"), col("class").alias("CLASS"),
-                                     F.round(col("criticality_number") * 1000).cast("bigint").alias("_w")))
-    x = conf.join(cat, "ATTRIBUTE")
+def _catalog(catalog: DataFrame) -> DataFrame:
+    """The fixed 31-row catalog, as the joins below read it."""
+    return F.broadcast(catalog.select(col("attribute").alias("ATTRIBUTE"), col("class").alias("CLASS"),
+                                      col("criticality").alias("CRITICALITY"),
+                                      F.round(col("criticality_number") * 1000).cast("bigint").alias("_w")))
+
+
+def scorecard(conf: DataFrame, catalog: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per attribute (LEVEL 0), per class (3), per criticality (5) and
+    in all (7); ``by`` adds columns of ``conf`` to every level."""
+    x = conf.join(_catalog(catalog), "ATTRIBUTE")
     ko_any = F.greatest(col("COMPLETENESS"), F.coalesce(col("ACCURACY"), F.lit(0)))
-    g = (x.rollup("CLASS", "ATTRIBUTE")
+    b, c, k, a = [col(n) for n in by], col("CLASS"), col("CRITICALITY"), col("ATTRIBUTE")
+    g = (x.groupingSets([[*b, c, k, a], [*b, c], [*b, k], b], *b, c, k, a)
          .agg(F.grouping_id().cast("int").alias("LEVEL"),
               F.count(F.lit(1)).alias("N_KEYS"),
               F.sum("COMPLETENESS").cast("bigint").alias("COMPLETENESS_KO"),
@@ -36,12 +44,33 @@ def scorecard(conf: DataFrame, catalog: DataFrame) -> DataFrame:
               F.sum(col("_w")).alias("W_TOTAL"),
               F.sum(col("_w") * ko_any).alias("W_KO")))
     return g.select(
-        "CLASS", "ATTRIBUTE", "LEVEL", "N_KEYS", "COMPLETENESS_KO", "ACCURACY_KO", "ACCURACY_CHECKED", "ANY_KO",
+        *by, "CLASS", "CRITICALITY", "ATTRIBUTE", "LEVEL", "N_KEYS", "COMPLETENESS_KO", "ACCURACY_KO", "ACCURACY_CHECKED", "ANY_KO",
         _rate("COMPLETENESS_KO", "N_KEYS").alias("COMPLETENESS_RATE"),
         _rate("ACCURACY_KO", "NULLIF(ACCURACY_CHECKED, 0)").alias("ACCURACY_RATE"),
         _rate("W_KO", "W_TOTAL").alias("WEIGHTED_OK_RATE"))
 
 
+def scorecard_over_time(snapshots: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The scorecard of every stored snapshot, with SNAPSHOT_DATE."""
+    return scorecard(snapshots, catalog, by=("SNAPSHOT_DATE",))
+
+
+def ko_listing(conf: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The keys that fail completeness or accuracy, for inspection."""
+    return (conf.where((col("COMPLETENESS") == 1) | (col("ACCURACY") == 1)).join(_catalog(catalog), "ATTRIBUTE")
+            .select("CLASS", "CRITICALITY", "ATTRIBUTE", "SOURCE_SYSTEM", "GMID", "COMPLETENESS", "ACCURACY"))
+
+
+def in_report_order(df: DataFrame) -> DataFrame:
+    """Rows in the order of the report: by the naming columns, nulls last."""
+    names = [c for c in ("SNAPSHOT_DATE", "CLASS", "CRITICALITY", "ATTRIBUTE", "SOURCE_SYSTEM", "GMID") if c in df.columns]
+    return df.orderBy(*[col(c).asc_nulls_last() for c in names])
+
+
 def scorecard_query(spark: SparkSession, sf_dir: str, as_of: str = AS_OF_DEFAULT) -> DataFrame:
     t = Tables.from_tpch(spark, sf_dir)
     return scorecard(conformed_suite(t, as_of), catalog_df(spark))
+
+
+def ko_listing_query(spark: SparkSession, sf_dir: str, as_of: str = AS_OF_DEFAULT) -> DataFrame:
+    return ko_listing(conformed_suite(Tables.from_tpch(spark, sf_dir), as_of), catalog_df(spark))

@@ -9,12 +9,11 @@ shared folder, which cuts lineage and lets many rules scan the same files.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdq.sources import erp_fixtures, views
+from mdq.sources import contract, erp_fixtures, views
 
 TABLE_NAMES = erp_fixtures.NAMES
 SHARED_VIEWS = tuple(views.DERIVED)
@@ -25,25 +24,29 @@ class Tables:
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
-        self._shared: list[DataFrame] = []   # inputs of several tables, cached while materializing
 
     # -- constructors -----------------------------------------------------
     @classmethod
     def from_tpch(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         bases = erp_fixtures.spark_bases(spark, sf_dir)
         loaders = {n: (lambda n=n: erp_fixtures.derive(bases[n](), n)) for n in TABLE_NAMES}
-        t = cls(spark, loaders)
-        t._shared.append(bases["pairs"]())
-        return t
+        return cls(spark, loaders)
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str | dict[str, str]) -> "Tables":
+    def from_parquet(cls, spark: SparkSession, root: str | dict[str, str],
+                     mapping: dict[str, dict[str, str]] | None = None) -> "Tables":
+        """Parquet folders ``<root>/<name>``, or a path for each name, held to
+        the source contract. ``mapping``: table -> contract column -> its name."""
         paths = root if isinstance(root, dict) else {n: f"{root}/{n}" for n in TABLE_NAMES}
-        return cls(spark, {n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()})
+        m = mapping or {}
+        return cls(spark, {n: (lambda n=n, p=p: contract.apply(spark.read.parquet(p), n, m.get(n))) for n, p in paths.items()})
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, names: dict[str, str]) -> "Tables":
-        return cls(spark, {n: (lambda t=t: spark.table(t)) for n, t in names.items()})
+    def from_catalog(cls, spark: SparkSession, names: dict[str, str],
+                     mapping: dict[str, dict[str, str]] | None = None) -> "Tables":
+        """Catalog tables, each by its own full name (any schema), held to the contract."""
+        m = mapping or {}
+        return cls(spark, {n: (lambda n=n, t=t: contract.apply(spark.table(t), n, m.get(n))) for n, t in names.items()})
 
     # -- access -----------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
@@ -64,7 +67,7 @@ class Tables:
         except KeyError as e:
             raise AttributeError(name) from e
 
-    def materialize(self, root: str | None = None, names=TABLE_NAMES + SHARED_VIEWS) -> "Tables":
+    def materialize(self, root: str | None = None, names=None) -> "Tables":
         """Write each table (and the shared views) once as parquet under
         ``root`` (default: a fresh folder inside the session's checkpoint
         directory, which a cluster places on shared storage) and return a
@@ -72,17 +75,13 @@ class Tables:
         lost executor recomputes from these files, not from the sources.
         Shared views are computed from the written base tables."""
         if root is None:
-            from mdq.session import ensure_checkpoint_dir
-            root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/mdq-tables-{uuid.uuid4().hex[:8]}"
+            from mdq.session import shared_path
+            root = shared_path(self.spark, "mdq-tables")
+        if names is None:
+            names = tuple(n for n in TABLE_NAMES + SHARED_VIEWS if n in self._loaders or n in views.DERIVED)
         base = [n for n in names if n not in views.DERIVED]
-        for df in self._shared:
-            df.persist()
-        try:
-            for n in base:
-                self[n].write.mode("overwrite").parquet(f"{root}/{n}")
-        finally:
-            for df in self._shared:
-                df.unpersist()
+        for n in base:
+            self[n].write.mode("overwrite").parquet(f"{root}/{n}")
         written = Tables.from_parquet(self.spark, {n: f"{root}/{n}" for n in base})
         for n in names:
             if n in views.DERIVED:

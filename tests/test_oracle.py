@@ -17,10 +17,11 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    own = {k for k in QUERIES if k.startswith("dq")}
+    assert own == {k for k in ORACLE if k.startswith("dq")} and len(own) == 36
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k.startswith("dq")))
 def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
     rel = duck.sql(ORACLE[key])

@@ -1,11 +1,11 @@
-"""Catalog, history intervals and the size-checked broadcast."""
+"""Catalog, history intervals, scorecard and command line."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import types as T
 
 from mdq.operators import RULES
-from mdq.operators.joins import broadcast_if_small
 from mdq.plans.catalog import catalog_df, enabled_rules
 from mdq.plans.history import change_history, read_snapshots, write_snapshot
 
@@ -49,10 +49,67 @@ def test_snapshot_rewrite_is_idempotent(spark, tmp_path):
     assert read_snapshots(spark, root).count() == 2
 
 
-def test_broadcast_only_below_bound(spark):
-    df = spark.range(10)
-    assert broadcast_if_small(df, max_rows=5) is df
-    assert broadcast_if_small(df, max_rows=100) is not df
+def test_empty_rerun_replaces_the_date(spark, tmp_path):
+    root = str(tmp_path / "snaps")
+    conf = spark.createDataFrame([("S", "A", "X", 0, 0)], SNAP[1:])
+    write_snapshot(conf, root, "2020-01-01")
+    write_snapshot(conf, root, "2020-01-02")
+    write_snapshot(conf.limit(0), root, "2020-01-02")
+    assert [str(r.SNAPSHOT_DATE) for r in read_snapshots(spark, root).collect()] == ["2020-01-01"]
+
+
+def test_history_refuses_old_dates_and_a_forgotten_past(spark, tmp_path):
+    from mdq.plans.history import advance_history, daily_run
+    snap = spark.createDataFrame([("S", "A", "X", 0, 0)], SNAP[1:])
+    first = advance_history(None, snap, "2020-01-02")
+    for d in ("2020-01-02", "2019-12-31"):
+        with pytest.raises(ValueError):
+            advance_history(first, snap, d)
+    assert advance_history(first, snap.limit(0), "2020-01-03").collect()[0]["VALID_TO"] == dt.date(2020, 1, 3)
+    for extra in ({}, {"previous_history_root": "p", "new_history": True}, {"previous_history_root": str(tmp_path / "h")}):
+        with pytest.raises(ValueError):
+            daily_run(type("T", (), {"spark": spark})(), "2020-01-01", "s", str(tmp_path / "h"), **extra)
+
+
+def test_scorecard_levels_and_ko_listing(spark):
+    from mdq.plans.scorecard import in_report_order, ko_listing, scorecard, scorecard_over_time
+    rows = [("S", "M1", "LVORM", 1, 0), ("S", "M2", "MEINS", 0, 0), ("S", "M3", "dock to stock lead time", 0, 1), ("S", None, "EFFPR", 0, None)]
+    conf = spark.createDataFrame(rows, RESULT)
+    card = scorecard(conf, catalog_df(spark))
+    by = {(r.CLASS, r.CRITICALITY, r.ATTRIBUTE): (r.LEVEL, r.N_KEYS, r.ANY_KO) for r in card.collect()}
+    assert by[None, "Medium", None] == (5, 1, 1) and by[None, "High", None] == (5, 3, 1)
+    assert by["Planning", None, None] == (3, 3, 2) and by[None, None, None] == (7, 4, 2)
+    assert by["Customer Fulfillment", "High", "MEINS"] == (0, 1, 0) and len(by) == 9
+    ko = in_report_order(ko_listing(conf, catalog_df(spark))).collect()
+    assert [(r.CRITICALITY, r.GMID) for r in ko] == [("High", "M1"), ("Medium", "M3")]
+    dated = conf.selectExpr("*", "explode(array(date'2020-01-01', date'2020-01-02')) AS SNAPSHOT_DATE")
+    assert scorecard_over_time(dated, catalog_df(spark)).groupBy("SNAPSHOT_DATE").count().collect()[1]["count"] == 9
+
+
+@pytest.mark.parametrize("key,table,change", [
+    ("dq_to_gmid", "material", {"IS_ACTIVE": "false"}), ("dq_from_gmid", "material", {"IS_ACTIVE": "false"}),
+    ("dq_effective_end_date", "part_dim", {"RELEVANCYKNX": "'0'"}), ("dq_kapid", "crca", {"KAPID": "'none'"}),
+    ("dq_bstae", "lfm2", {"BSTAE": "'zz'"}), ("dq_loekz", "marc", {"LVORM": "'X'"}), ("dq_lvorm", "crhd", {"LVORM": "NULL"})])
+def test_changed_dimension_is_seen_in_the_same_session(spark, tmp_path, key, table, change):
+    from conftest import SF_SMALL
+
+    from mdq.sources.tables import Tables
+    base = Tables.from_tpch(spark, SF_SMALL)
+    root = str(tmp_path)
+    from mdq.sources.tables import TABLE_NAMES
+    paths = {n: f"{root}/{n}" for n in TABLE_NAMES}
+    base[table].write.parquet(paths[table])
+    t = Tables(spark, {n: (lambda n=n: spark.read.parquet(paths[n]) if n == table else base[n]) for n in TABLE_NAMES})
+    before = sorted(map(tuple, RULES[key].fn(t, "1998-06-30").collect()), key=str)
+    df = base[table]
+    for c, v in change.items():
+        from pyspark.sql import functions as F
+        df = df.withColumn(c, F.expr(v).cast(df.schema[c].dataType))
+    df.write.mode("overwrite").parquet(paths[table])
+    t = Tables(spark, {n: (lambda n=n: spark.read.parquet(paths[n]) if n == table else base[n]) for n in TABLE_NAMES})
+    again = RULES[key].fn(t, "1998-06-30")
+    assert sorted(map(tuple, again.collect()), key=str) != before
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_advance_history_equals_full_recompute(spark):
@@ -82,7 +139,7 @@ def test_daily_runs_build_the_same_history(spark, tmp_path):
     snaps, prev = str(tmp_path / "snaps"), None
     for i, d in enumerate(dates):
         hist = str(tmp_path / f"history-{i}")
-        card = daily_run(t, d, snaps, hist, prev).collect()
+        card = daily_run(t, d, snaps, hist, prev, new_history=prev is None).collect()
         assert len(card) > 0
         prev = hist
     got = spark.read.parquet(prev)
