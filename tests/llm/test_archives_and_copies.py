@@ -199,3 +199,14 @@ def test_pipeline_on_odd_and_empty_tables(make_docs, tables):
             docs = stage(docs.sparkSession, docs, "")
             assert set(docs.columns) == set(names)
             docs = docs.sparkSession.createDataFrame(docs.collect(), docs.schema)
+
+
+def test_queries_match_their_sql(ready):
+    import __spark_entry__ as entry
+    from check_oracle import duck_connect, norm_rows
+    duck = duck_connect("/root/testdata/sf0.001")
+    for key in ("op2_warc", "op9_mixing"):
+        df = entry.queries()[key](ready, "/root/testdata/sf0.001")
+        rel = duck.sql(entry.oracle_sql()[key])
+        assert sorted(df.columns) == sorted(rel.columns)
+        assert norm_rows(df.columns, [tuple(r) for r in df.collect()]) == norm_rows(rel.columns, rel.fetchall())
