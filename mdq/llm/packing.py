@@ -102,10 +102,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path
     step = 4 * capacity
 
     def cut(batches):
-        enc = encoder(path, spaces=False)
+        enc = encoder(path, spaces=False, memo_size=350_000)
         for b in batches:
             names, texts = b.column(0).to_pylist(), b.column(1)
-            for lo, hi in text_groups(texts):
+            for lo, hi in text_groups(texts, 7_000_000):
                 rows = [(d, p // step, p // 4, raw[p:p + step])
                         for d, x in zip(names[lo:hi], enc.encode(texts.slice(lo, hi - lo)))
                         for raw in (x + end,) for p in range(0, len(raw), step)]
@@ -113,6 +113,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path
                 yield pa.record_batch([pa.array(d, pa.int64()), pa.array(k, pa.int32()), pa.array(s, pa.int64()),
                                        pa.array([len(y) // 4 for y in x], pa.int64()), pa.array(x, pa.binary())],
                                       ["doc_id", "piece", "start", "length", "ids"])
+            pa.default_memory_pool().release_unused()
 
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(cut, "doc_id bigint, piece int, start bigint, length bigint, ids binary"))

@@ -160,10 +160,10 @@ class PieceEncoder:
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str, spaces: bool) -> PieceEncoder:
+def encoder(path: str, spaces: bool, memo_size: int = 600_000) -> PieceEncoder:
     """This worker's encoder for a file (kept between tasks)."""
     if (path, spaces) not in _ENCODERS:
-        _ENCODERS[path, spaces] = PieceEncoder(path, spaces)
+        _ENCODERS[path, spaces] = PieceEncoder(path, spaces, memo_size)
     return _ENCODERS[path, spaces]
 
 
