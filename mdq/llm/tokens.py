@@ -105,12 +105,17 @@ class PieceEncoder:
     def _look(self, memo: Memo, pieces: list[str]) -> list[bytes]:
         """Ids of each piece; one of letters and marks is put together from its
         parts and not remembered."""
-        out = list(map(memo.get, pieces))
-        for i, x in enumerate(out):
-            if x is None:
-                p = pieces[i]
-                head = _HEAD(p)
-                out[i] = memo[head.group()] + self._look(self.bare, [p[head.end():]])[0] if head else memo[p]
+        bare, out = self.bare, list(map(memo.get, pieces))
+        for i in [i for i, x in enumerate(out) if x is None]:
+            p = pieces[i]
+            head = _HEAD(p)
+            if head:
+                end = head.end()
+                word, rest = p[:end], p[end:]
+                tail = bare.get(rest)
+                out[i] = memo[word] + (self._look(bare, [rest])[0] if tail is None else tail)
+            else:
+                out[i] = memo[p]
         return out
 
     def _alone(self, text: str) -> bytes:
