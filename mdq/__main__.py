@@ -2,10 +2,10 @@
 
     spark-submit mdq/__main__.py rule dq_aplfz --tables-root s3://.../erp --as-of 2024-01-31 --out s3://.../out
     python -m mdq daily --tables-root /data/erp --as-of 2024-01-31 --snapshots /data/dq/snapshots \
-        --history /data/dq/history/2024-01-31 --previous-history /data/dq/history/2024-01-30 --out /data/dq/card
+        --history /data/dq/history --out /data/dq/card
 
-The first daily run takes --new-history in place of --previous-history. On a
-cluster, ship the package (``--py-files``) and name ``spark.checkpoint.dir``.
+The first daily run takes --new-history. On a cluster, ship the package
+(``--py-files``) and name ``spark.checkpoint.dir``.
 
 Source tables come from parquet folders ``<tables-root>/<name>`` or, with
 ``--catalog-db``, from catalog tables ``<db>.<name>``.
@@ -51,7 +51,6 @@ def main(argv=None) -> int:
         if name == "daily":
             s.add_argument("--snapshots", required=True)
             s.add_argument("--history")
-            s.add_argument("--previous-history")
             s.add_argument("--new-history", action="store_true")
     args = p.parse_args(argv)
 
@@ -68,7 +67,7 @@ def main(argv=None) -> int:
         from mdq.plans.history import daily_run
         from mdq.plans.scorecard import in_report_order
         as_of = args.as_of or spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
-        card = daily_run(t, as_of, args.snapshots, args.history, args.previous_history, args.new_history)
+        card = daily_run(t, as_of, args.snapshots, args.history, args.new_history)
         if args.out:
             card.write.mode("overwrite").parquet(args.out)
         else:

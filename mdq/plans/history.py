@@ -98,26 +98,18 @@ def history_query(spark: SparkSession, sf_dir: str, dates=HISTORY_DATES) -> Data
     return history_over_dates(Tables.from_tpch(spark, sf_dir), dates)
 
 
-def advance_history(history: DataFrame | None, snapshot: DataFrame, as_of: str) -> DataFrame:
-    """Add one snapshot, taken at ``as_of``, to the validity intervals, without
-    rereading old snapshots.
+def _moved(open_: DataFrame | None, snapshot: DataFrame, as_of: str) -> DataFrame:
+    """What one snapshot makes of the open intervals: closed, still open, or new.
 
-    ``as_of`` must be later than every date in ``history``: a rerun of a date
-    starts from the history before it. Closed intervals pass through. Open
-    ones are joined once with the new snapshot on the key (null-safe: GMID may
-    be NULL), and each pair gives the interval that was open (left open if the
-    flags are the same, else closed at ``as_of``) and, for new or changed keys,
-    one that starts at ``as_of``. Equal to ``change_history`` over all dates.
-    """
+    One join on the key (null-safe: GMID may be NULL). Each pair gives the
+    interval that was open (left open if the flags are the same, else closed at
+    ``as_of``) and, for new or changed keys, one that starts at ``as_of``."""
     d = F.lit(as_of).cast("date")
     flags = ["COMPLETENESS", "ACCURACY"]
     snap = snapshot.select(*KEY, *[col(c).cast("int").alias(c) for c in flags])
-    if history is None:
+    if open_ is None:
         return snap.select(*KEY, *flags, d.alias("VALID_FROM"), F.lit(None).cast("date").alias("VALID_TO"))
-    newest = history.agg(F.greatest(F.max("VALID_FROM"), F.max("VALID_TO")).cast("string").alias("d")).first()["d"]
-    if newest is not None and as_of <= newest:
-        raise ValueError(f"the history already reaches {newest}; {as_of} is not later")
-    o, n = history.where(col("VALID_TO").isNull()).alias("o"), snap.alias("n")
+    o, n = open_.alias("o"), snap.alias("n")
     j = o.join(n, reduce(lambda a, b: a & b, [col(f"o.{k}").eqNullSafe(col(f"n.{k}")) for k in KEY]), "full")
     has_o, has_n = col("o.VALID_FROM").isNotNull(), col("n.ATTRIBUTE").isNotNull()   # never NULL where the side is there
     same = reduce(lambda a, b: a & b, [col(f"o.{c}").eqNullSafe(col(f"n.{c}")) for c in flags])
@@ -126,30 +118,84 @@ def advance_history(history: DataFrame | None, snapshot: DataFrame, as_of: str)
         return F.struct(*[col(f"{side}.{c}").alias(c) for c in KEY + flags], start.alias("VALID_FROM"), end.cast("date").alias("VALID_TO"))
     rows = F.array(F.when(has_o, row("o", col("o.VALID_FROM"), F.when(~(has_n & same), d))),
                    F.when(has_n & ~(has_o & same), row("n", d, F.lit(None))))
-    moved = j.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
-    return history.where(col("VALID_TO").isNotNull()).select(moved.columns).unionByName(moved)
+    return j.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
+
 
+def advance_history(history: DataFrame | None, snapshot: DataFrame, as_of: str) -> DataFrame:
+    """Add one snapshot, taken at ``as_of``, to the validity intervals, without
+    rereading old snapshots.
+
+    ``as_of`` must be later than every date in ``history``: a rerun of a date
+    starts from the history before it. Closed intervals pass through; equal to
+    ``change_history`` over all dates.
+    """
+    if history is None:
+        return _moved(None, snapshot, as_of)
+    newest = history.agg(F.greatest(F.max("VALID_FROM"), F.max("VALID_TO")).cast("string").alias("d")).first()["d"]
+    if newest is not None and as_of <= newest:
+        raise ValueError(f"the history already reaches {newest}; {as_of} is not later")
+    moved = _moved(history.where(col("VALID_TO").isNull()), snapshot, as_of)
+    return history.where(col("VALID_TO").isNotNull()).select(moved.columns).unionByName(moved)
 
-def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None,
-              previous_history_root: str | None = None, new_history: bool = False) -> DataFrame:
-    """One scheduled run: conformed suite -> dated snapshot -> history
-    (advanced from the previous run's) -> scorecard.
 
-    The history is written to a folder of its own. A first one is started only
-    on request (``new_history``), so a forgotten previous history is an error
-    and not a lost past. The suite reads tables and shared views that are
-    written once for the run."""
+#: A stored history: ``<root>/AS_OF=<date>/IS_OPEN=<0 or 1>``. Each run writes the
+#: intervals that it closed (never touched again) and those open after it.
+STORED = T.StructType([T.StructField(n, T.StringType()) for n in KEY]
+                      + [T.StructField(n, T.IntegerType()) for n in ("COMPLETENESS", "ACCURACY")]
+                      + [T.StructField(n, T.DateType()) for n in ("VALID_FROM", "VALID_TO", "AS_OF")]
+                      + [T.StructField("IS_OPEN", T.IntegerType())])
+
+
+def finished_runs(spark: SparkSession, root: str) -> list[str]:
+    """The dates whose run under ``root`` was written to its end, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/AS_OF=*/_SUCCESS")
+    done = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(x.getPath().getParent().getName().removeprefix("AS_OF=") for x in done or [])
+
+
+def read_history(spark: SparkSession, root: str, as_of: str | None = None) -> DataFrame:
+    """The intervals after the run of ``as_of`` (default: the last finished
+    one): all that were closed by then, and those that this run left open. The
+    other runs' open intervals are pruned by their folder."""
+    runs = finished_runs(spark, root)
+    if not runs or as_of is not None and as_of not in runs:
+        raise ValueError(f"no finished run{f' of {as_of}' if as_of else ''} under {root}")
+    last = F.lit(as_of or runs[-1]).cast("date")
+    rows = spark.read.schema(STORED).parquet(root)
+    return (rows.where(((col("IS_OPEN") == 1) & (col("AS_OF") == last)) | ((col("IS_OPEN") == 0) & (col("AS_OF") <= last)))
+            .drop("AS_OF", "IS_OPEN"))
+
+
+def append_history(snapshot: DataFrame, root: str, as_of: str, new_history: bool = False) -> None:
+    """Add the snapshot of ``as_of`` to the history under ``root``: one join of
+    the last run's open intervals, one write; closed intervals are not reread.
+
+    A rerun of the last date starts from the run before it and replaces its own
+    folder. A date before a finished run is refused. A history is started only
+    on request, so a forgotten past is an error and not a loss."""
+    spark = snapshot.sparkSession
+    runs = finished_runs(spark, root)
+    if runs and as_of < runs[-1]:
+        raise ValueError(f"the history already reaches {runs[-1]}; {as_of} is earlier")
+    before = [d for d in runs if d < as_of]
+    if new_history == bool(before):
+        raise ValueError(f"{root} has a history up to {before[-1]}" if before else f"{root} has no history before {as_of}; ask for a new one")
+    open_ = read_history(spark, root, before[-1]).where(col("VALID_TO").isNull()) if before else None
+    (_moved(open_, snapshot, as_of).withColumn("IS_OPEN", col("VALID_TO").isNull().cast("int"))
+     .write.mode("overwrite").partitionBy("IS_OPEN").parquet(f"{root.rstrip('/')}/AS_OF={as_of}"))
+
+
+def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None, new_history: bool = False) -> DataFrame:
+    """One scheduled run: conformed suite -> dated snapshot -> history (the
+    snapshot appended to the earlier runs') -> scorecard.
+
+    The suite reads tables and shared views that are written once for the run."""
     from mdq.plans.catalog import catalog_df
     from mdq.plans.scorecard import scorecard
 
     spark = t.spark
-    if history_root and bool(previous_history_root) == new_history:
-        raise ValueError("give the previous history, or ask for a new one")
-    if history_root and history_root == previous_history_root:
-        raise ValueError("the new history needs a folder of its own")
     write_snapshot(conformed_suite(t.materialize(), as_of), snapshot_root, as_of)
     snap = spark.read.parquet(f"{snapshot_root.rstrip('/')}/SNAPSHOT_DATE={as_of}")
     if history_root:
-        prev = spark.read.parquet(previous_history_root) if previous_history_root else None
-        advance_history(prev, snap, as_of).write.mode("overwrite").parquet(history_root)
+        append_history(snap, history_root, as_of, new_history)
     return scorecard(snap, catalog_df(spark))

@@ -59,16 +59,49 @@ def test_empty_rerun_replaces_the_date(spark, tmp_path):
 
 
 def test_history_refuses_old_dates_and_a_forgotten_past(spark, tmp_path):
-    from mdq.plans.history import advance_history, daily_run
+    from mdq.plans.history import advance_history, append_history, finished_runs
     snap = spark.createDataFrame([("S", "A", "X", 0, 0)], SNAP[1:])
     first = advance_history(None, snap, "2020-01-02")
     for d in ("2020-01-02", "2019-12-31"):
         with pytest.raises(ValueError):
             advance_history(first, snap, d)
     assert advance_history(first, snap.limit(0), "2020-01-03").collect()[0]["VALID_TO"] == dt.date(2020, 1, 3)
-    for extra in ({}, {"previous_history_root": "p", "new_history": True}, {"previous_history_root": str(tmp_path / "h")}):
+    root = str(tmp_path / "h")
+    with pytest.raises(ValueError):                          # nothing to go on from
+        append_history(snap, root, "2020-01-01")
+    append_history(snap, root, "2020-01-02", new_history=True)
+    for d, new in (("2020-01-01", False), ("2020-01-01", True), ("2020-01-03", True), ("2020-01-02", False)):
         with pytest.raises(ValueError):
-            daily_run(type("T", (), {"spark": spark})(), "2020-01-01", "s", str(tmp_path / "h"), **extra)
+            append_history(snap, root, d, new_history=new)
+    assert finished_runs(spark, root) == ["2020-01-02"]
+
+
+def test_stored_history_appends_and_reruns(spark, tmp_path):
+    import os
+
+    from mdq.plans.history import append_history, finished_runs, read_history
+    d = [dt.date(2020, 1, i) for i in (1, 2, 3, 4, 5)]
+    rows = [(d[0], "S", "A", "X", 0, 0), (d[1], "S", "A", "X", 1, 0), (d[3], "S", "A", "X", 1, 0),
+            (d[0], "S", None, "X", 0, None), (d[1], "S", None, "X", 0, None), (d[4], "S", "B", "X", 1, 1)]   # nothing on the third day
+    snaps = spark.createDataFrame(rows, SNAP)
+    root, dates = str(tmp_path / "h"), [x.isoformat() for x in d]
+    of = lambda x: snaps.where(snaps.SNAPSHOT_DATE == x).drop("SNAPSHOT_DATE")
+    listing = lambda x: sorted(os.path.join(a, f) for a, _, fs in os.walk(f"{root}/AS_OF={x}") for f in fs)
+    for i, x in enumerate(d):
+        old = [listing(y) for y in dates[:i]]
+        append_history(of(x).limit(0), root, dates[i], new_history=i == 0)     # a wrong run, then its rerun
+        append_history(of(x), root, dates[i], new_history=i == 0)
+        assert old == [listing(y) for y in dates[:i]]                            # earlier runs' files are left alone
+        want = change_history(snaps.where(snaps.SNAPSHOT_DATE <= x), dates[:i + 1])
+        assert sorted(map(tuple, read_history(spark, root).select(want.columns).collect()), key=str) == \
+            sorted(map(tuple, want.collect()), key=str)
+    os.remove(f"{root}/AS_OF=2020-01-05/_SUCCESS")                             # a run that broke off does not count
+    assert finished_runs(spark, root) == dates[:4]
+    want = change_history(snaps.where(snaps.SNAPSHOT_DATE <= d[3]), dates[:4])
+    assert sorted(map(tuple, read_history(spark, root).select(want.columns).collect()), key=str) == \
+        sorted(map(tuple, want.collect()), key=str)
+    with pytest.raises(ValueError):
+        read_history(spark, root, "2020-01-05")
 
 
 def test_scorecard_levels_and_ko_listing(spark):
@@ -132,17 +165,15 @@ def test_advance_history_equals_full_recompute(spark):
 def test_daily_runs_build_the_same_history(spark, tmp_path):
     from conftest import SF_SMALL
 
-    from mdq.plans.history import daily_run, history_query
+    from mdq.plans.history import daily_run, history_query, read_history
     from mdq.sources.tables import Tables
     t = Tables.from_tpch(spark, SF_SMALL)
     dates = ["1998-06-30", "1999-06-30"]
-    snaps, prev = str(tmp_path / "snaps"), None
+    snaps, hist = str(tmp_path / "snaps"), str(tmp_path / "history")
     for i, d in enumerate(dates):
-        hist = str(tmp_path / f"history-{i}")
-        card = daily_run(t, d, snaps, hist, prev, new_history=prev is None).collect()
+        card = daily_run(t, d, snaps, hist, new_history=i == 0).collect()
         assert len(card) > 0
-        prev = hist
-    got = spark.read.parquet(prev)
+    got = read_history(spark, hist)
     want = history_query(spark, SF_SMALL, dates)
     cols = want.columns
     assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
