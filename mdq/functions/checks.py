@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 RESULT_COLUMNS = ("SOURCE_SYSTEM", "GMID", "ATTRIBUTE", "COMPLETENESS", "ACCURACY")
 
@@ -25,6 +27,26 @@ def as_of_col(as_of=None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
+def dates_of(as_of=None) -> list[Column]:
+    """The evaluation dates: those of a list, else the one date."""
+    return [as_of_col(d) for d in as_of] if isinstance(as_of, (list, tuple)) else [as_of_col(as_of)]
+
+
+def per_date(as_of, flag, on: str | None = None) -> Column:
+    """``flag`` (a function of a date column) at the as-of date. For a list of
+    dates an array with an element for each, NULL where the boolean array in
+    column ``on`` says that the row does not count at that date."""
+    dates = dates_of(as_of)
+    if not isinstance(as_of, (list, tuple)):
+        return flag(dates[0])
+    return F.array(*[flag(d) if on is None else F.when(F.col(on)[i], flag(d)) for i, d in enumerate(dates)])
+
+
+def any_date(as_of, cond) -> Column:
+    """Whether ``cond`` (a function of a date column) holds at any of the dates."""
+    return reduce(lambda a, b: a | b, map(cond, dates_of(as_of)))
+
+
 def is_blank(c) -> Column:
     """NULL, or only spaces (string columns only)."""
     c = _c(c)
@@ -56,13 +78,15 @@ def ok_only_if(cond: Column) -> Column:
 
 def result(df: DataFrame, ss, gmid, label: str, completeness, accuracy,
            distinct: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
-    """Project to the five-column result of a rule (and the columns ``also``)."""
+    """Project to the five-column result of a rule (and the columns ``also``).
+    Flags given for several dates stay arrays."""
+    flags = {"COMPLETENESS": _c(completeness), "ACCURACY": _c(accuracy)}
+    kinds = df.select(*[c.alias(n) for n, c in flags.items()]).schema
     out = df.select(
         _c(ss).cast("string").alias("SOURCE_SYSTEM"),
         _c(gmid).cast("string").alias("GMID"),
         F.lit(label).alias("ATTRIBUTE"),
-        _c(completeness).cast("int").alias("COMPLETENESS"),
-        _c(accuracy).cast("int").alias("ACCURACY"),
+        *[(c if isinstance(kinds[n].dataType, ArrayType) else c.cast("int")).alias(n) for n, c in flags.items()],
         *also,
     )
     return out.distinct() if distinct else out

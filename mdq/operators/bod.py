@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mdq.functions import as_of_col, first_match, is_blank, is_missing, ok_only_if, result
+from mdq.functions import any_date, dates_of, first_match, is_blank, is_missing, ok_only_if, per_date, result
 from mdq.functions.scope import kinaxis
 from mdq.sources.tables import Tables
 
@@ -62,15 +64,15 @@ def dq_effective_end_date(t: Tables, as_of=None) -> DataFrame:
 def dq_from_gmid(t: Tables, as_of=None) -> DataFrame:
     """R27 sending material of lanes active at as-of: present and active in
     the material dimension (matched without leading zeros)."""
-    d = as_of_col(as_of)
     ein, eout = col("EFFECTIVE_IN_DATE"), col("EFFECTIVE_OUT_DATE")
-    bod = (t.bod.where((ein.isNull() | (ein <= d)) & (eout.isNull() | (eout >= d)))
-           .select(SS, "GMID", "FROM_GMID"))
+    active = lambda d: (ein.isNull() | (ein <= d)) & (eout.isNull() | (eout >= d))
+    bod = (t.bod.where(any_date(as_of, active))
+           .select(SS, "GMID", "FROM_GMID", per_date(as_of, active).alias("_on")))
     mat = t.material.select(_strip_zeros(col("GMID_CODE")).alias("FROM_GMID"), "IS_ACTIVE").distinct()
     df = bod.join(mat, "FROM_GMID", "left")
     c = first_match(is_blank("FROM_GMID"))
     a = ok_only_if(col("FROM_GMID").isNotNull() & (col("IS_ACTIVE") == F.lit(True)))
-    return result(df, SS, "GMID", "from_gmid code", c, a)
+    return result(df, SS, "GMID", "from_gmid code", per_date(as_of, lambda d: c, "_on"), per_date(as_of, lambda d: a, "_on"))
 
 
 def _site_checks(t: Tables, site: str, uid: str, label: str) -> DataFrame:
@@ -94,28 +96,31 @@ def dq_to_site(t: Tables, as_of=None) -> DataFrame:
 
 def active_lanes(t: Tables, as_of=None) -> DataFrame:
     """(part, site) pairs that are in use: their demand adds up to more than
-    nothing, or their forecast after the as-of date does. One aggregation over
-    both quantities."""
-    zero = F.lit(0)
-    moves = t.demand.select("GMID", col("BALANCE_DELTA").alias("needed"), zero.alias("planned")).unionByName(
-        t.forecast.where(col("FORECAST_DATE") > as_of_col(as_of))
-        .select("GMID", zero.alias("needed"), col("EFFECTIVE_QUANTITY").alias("planned")))
+    nothing, or their forecast after the as-of date does; ``_on`` says it for
+    each of several dates. One aggregation over all quantities."""
+    zero, later = F.lit(0), lambda d: col("FORECAST_DATE") > d
+    planned = [f"planned{i}" for i in range(len(dates_of(as_of)))]
+    moves = t.demand.select("GMID", col("BALANCE_DELTA").alias("needed"), *[zero.alias(p) for p in planned]).unionByName(
+        t.forecast.where(any_date(as_of, later))
+        .select("GMID", zero.alias("needed"), *[F.when(later(d), col("EFFECTIVE_QUANTITY")).otherwise(zero).alias(p)
+                                                for p, d in zip(planned, dates_of(as_of))]))
+    used = [(col("needed") > 0) | (col(p) > 0) for p in planned]
     part = lambda i: F.split_part(col("GMID"), F.lit("|"), F.lit(i))
     return (moves.groupBy(part(1).alias("PART"), part(2).alias("SITE"))
-            .agg(F.sum("needed").alias("needed"), F.sum("planned").alias("planned"))
-            .where((col("needed") > 0) | (col("planned") > 0)).select("PART", "SITE"))
+            .agg(F.sum("needed").alias("needed"), *[F.sum(p).alias(p) for p in planned])
+            .where(reduce(lambda a, b: a | b, used)).select("PART", "SITE", F.array(*used).alias("_on")))
 
 
 def dq_order_policy(t: Tables, as_of=None) -> DataFrame:
     """R29 order policy of the lanes in use (bag). Accuracy is KO only for a
     'NoOrders' lane that is current and starts within 3 years."""
-    d = as_of_col(as_of)
     lanes = t.bod.select(col("GMID").alias("PART"), "SITE", SS, "ORDER_POLICY", "EFFECTIVE_IN_DATE", "EFFECTIVE_OUT_DATE")
     df = lanes.join(active_lanes(t, as_of), ["PART", "SITE"])
     policy = F.coalesce(F.trim(col("ORDER_POLICY")), F.lit(""))
-    stopped = (policy == NO_ORDERS) & F.coalesce(col("EFFECTIVE_OUT_DATE") >= d, F.lit(True)) \
-        & F.coalesce(col("EFFECTIVE_IN_DATE") <= F.add_months(d, 36), F.lit(True))
-    return result(df, SS, "PART", "order policy", first_match(policy == ""), first_match(stopped), distinct=False)
+    stopped = lambda d: ((policy == NO_ORDERS) & F.coalesce(col("EFFECTIVE_OUT_DATE") >= d, F.lit(True))
+                         & F.coalesce(col("EFFECTIVE_IN_DATE") <= F.add_months(d, 36), F.lit(True)))
+    return result(df, SS, "PART", "order policy", per_date(as_of, lambda d: first_match(policy == ""), "_on"),
+                  per_date(as_of, lambda d: first_match(stopped(d)), "_on"), distinct=False)
 
 
 def dq_to_gmid(t: Tables, as_of=None) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mdq.functions import as_of_col, first_match, is_blank, ok_only_if, result
+from mdq.functions import any_date, first_match, is_blank, ok_only_if, per_date, result
 from mdq.functions.scope import active_pir, contains_scope, prefix_scope
 from mdq.operators.joins import expand_flag_pairs, flag_presence
 from mdq.sources.tables import Tables
@@ -118,13 +118,14 @@ def dq_loekz(t: Tables, as_of=None) -> DataFrame:
     EINE joins MARC on (system, plant) only; MARC is first reduced to the
     distinct (system, plant, plant-flag-blank) values, at most two per plant.
     """
-    eine = t.eine.where(col("PRDAT") < as_of_col(as_of)).select(SS, "WERKS", INFNR, "LOEKZ")
+    expired = lambda d: col("PRDAT") < d
+    eine = t.eine.where(any_date(as_of, expired)).select(SS, "WERKS", INFNR, "LOEKZ", per_date(as_of, expired).alias("_on"))
     plants = t.marc.select(SS, "WERKS", (F.coalesce(col("LVORM"), F.lit("")) == "").alias("_plant_open")).distinct()
     df = eine.join(plants, [SS, "WERKS"])
     infnr = F.coalesce(col(INFNR), F.lit(""))
     c = first_match(infnr == "")
     a = first_match((infnr != "") & col("_plant_open") & (col("LOEKZ") != "X"))
-    return result(df, SS, INFNR, "deactivation flag", c, a)
+    return result(df, SS, INFNR, "deactivation flag", per_date(as_of, lambda d: c, "_on"), per_date(as_of, lambda d: a, "_on"))
 
 
 def dq_meprf(t: Tables, as_of=None) -> DataFrame:
@@ -190,9 +191,9 @@ def dq_prdat(t: Tables, as_of=None) -> DataFrame:
     marc = t.marc.select(SS, MATNR, "WEBAZ").distinct()
     df = base.join(marc, [MATNR, SS], "left")
     p = col("PRDAT")
-    limit = F.date_add(as_of_col(as_of), (F.lit(5) + F.coalesce(col("WEBAZ"), F.lit(0))).cast("int"))
+    days = (F.lit(5) + F.coalesce(col("WEBAZ"), F.lit(0))).cast("int")
     c = first_match(p.isNull())
-    a = first_match(p.isNull(), p <= limit)
+    a = per_date(as_of, lambda d: first_match(p.isNull(), p <= F.date_add(d, days)))
     return result(df, SS, MATNR, "PRDAT", c, a)
 
 

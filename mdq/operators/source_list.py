@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mdq.functions import as_of_col, first_match, is_blank, result
+from mdq.functions import first_match, is_blank, per_date, result
 from mdq.functions.scope import contains_scope
 from mdq.sources.tables import Tables
 
@@ -35,11 +35,11 @@ def dq_bdatu(t: Tables, as_of=None) -> DataFrame:
     b = col("BDATU")
     eord = (t.eord.select(SS, MATNR, "WERKS",
                           first_match(b.isNull()).alias("_C"),
-                          first_match(b.isNull(), (b != F.lit(OPEN_END).cast("date")) & (b < as_of_col(as_of)))
+                          per_date(as_of, lambda d: first_match(b.isNull(), (b != F.lit(OPEN_END).cast("date")) & (b < d)))
                           .alias("_A"))
             .distinct())
     df = mara.join(marc, [MATNR, SS]).join(eord, [MATNR, "WERKS", SS], "left")
-    return result(df, SS, MATNR, "BDATU", F.coalesce(col("_C"), F.lit(1)), F.coalesce(col("_A"), F.lit(1)))
+    return result(df, SS, MATNR, "BDATU", F.coalesce(col("_C"), F.lit(1)), F.coalesce(col("_A"), per_date(as_of, lambda d: F.lit(1))))
 
 
 def dq_notkz(t: Tables, as_of=None) -> DataFrame:
@@ -50,10 +50,11 @@ def dq_notkz(t: Tables, as_of=None) -> DataFrame:
     nk = col("NOTKZ")
     blocked = nk == "X"
     c = first_match(is_blank(nk))
-    a = first_match(is_blank(nk), ~F.trim(nk).isin("X", ""),
-                    blocked & col("AUTET").isin("1", "2"),
-                    blocked & (col("FLIFN") == "X"),
-                    blocked & (col("BDATU") < F.date_sub(as_of_col(as_of), 365)))
+    a = per_date(as_of, lambda d: first_match(
+        is_blank(nk), ~F.trim(nk).isin("X", ""),
+        blocked & col("AUTET").isin("1", "2"),
+        blocked & (col("FLIFN") == "X"),
+        blocked & (col("BDATU") < F.date_sub(d, 365))))
     return result(base, SS, MATNR, "NOTKZ", c, a, distinct=False)
 
 

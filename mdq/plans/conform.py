@@ -14,16 +14,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from mdq.plans.catalog import OK_IS_ONE, enabled_rules
 
 KEY = ["SOURCE_SYSTEM", "GMID", "ATTRIBUTE"]
 
 
-def _ko(c: str, flip) -> F.Column:
+def _ko(c, flip) -> F.Column:
+    c = F.col(c) if isinstance(c, str) else c
     if isinstance(flip, bool):
-        return (F.lit(1) - F.col(c)) if flip else F.col(c)
-    return F.when(flip, F.lit(1) - F.col(c)).otherwise(F.col(c))
+        return (F.lit(1) - c) if flip else c
+    return F.when(flip, F.lit(1) - c).otherwise(c)
 
 
 def conformed(suite: DataFrame, catalog: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
@@ -49,14 +51,31 @@ def conformed_rule(df: DataFrame, rule) -> DataFrame:
                     "COMPLETENESS", "ACCURACY"))
 
 
+def conformed_rule_at(df: DataFrame, rule, dates) -> DataFrame:
+    """``conformed_rule`` for flags given as arrays over ``dates``: the worst
+    flag per key and date by one aggregation, then a row for each date at which
+    the key has rows (completeness is never NULL in a dated rule)."""
+    flip = rule.attribute in OK_IS_ONE
+    flags = ("COMPLETENESS", "ACCURACY")
+    arrays = {f.name for f in df.schema if isinstance(f.dataType, ArrayType)}
+    worst = [F.max(_ko(F.col(c)[i] if c in arrays else c, flip)).cast("int").alias(f"{c}{i}")
+             for c in flags for i in range(len(dates))]
+    rows = F.array(*[F.struct(*[F.col(f"{c}{i}").alias(c) for c in flags], F.lit(d).cast("date").alias("SNAPSHOT_DATE"))
+                     for i, d in enumerate(dates)])
+    return (df.groupBy("SOURCE_SYSTEM", "GMID").agg(*worst)
+            .select("SOURCE_SYSTEM", "GMID", F.lit(rule.attribute).alias("ATTRIBUTE"), F.explode(rows).alias("r"))
+            .select("SOURCE_SYSTEM", "GMID", "ATTRIBUTE", "r.*").where(F.col("COMPLETENESS").isNotNull()))
+
+
 def conformed_suite(t, as_of=None, rules=None) -> DataFrame:
     rules = enabled_rules() if rules is None else rules
     return reduce(DataFrame.unionByName, [conformed_rule(r.rows(t, as_of), r) for r in rules])
 
 
 def conformed_at_dates(t, dates, rules=None) -> DataFrame:
-    """Conformed flags at several as-of dates, with SNAPSHOT_DATE. Rules that
-    do not read the date are evaluated once and tagged with every date."""
+    """Conformed flags at several as-of dates, with SNAPSHOT_DATE. Every rule
+    is evaluated once: one that does not read the date is tagged with all
+    dates, any other gives its flags as arrays over the dates."""
     rules = enabled_rules() if rules is None else rules
     fixed = [r for r in rules if not r.uses_as_of]
     dated = [r for r in rules if r.uses_as_of]
@@ -64,7 +83,5 @@ def conformed_at_dates(t, dates, rules=None) -> DataFrame:
     if fixed:
         tags = F.array(*[F.lit(d).cast("date") for d in dates])
         parts.append(conformed_suite(t, None, fixed).withColumn("SNAPSHOT_DATE", F.explode(tags)))
-    for d in dates:
-        if dated:
-            parts.append(conformed_suite(t, d, dated).withColumn("SNAPSHOT_DATE", F.lit(d).cast("date")))
+    parts += [conformed_rule_at(r.fn(t, list(dates)), r, dates) for r in dated]
     return reduce(DataFrame.unionByName, parts)

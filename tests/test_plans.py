@@ -162,6 +162,24 @@ def test_advance_history_equals_full_recompute(spark):
     assert sorted((tuple(r) for r in hist.select(*change_history(snaps, dates).columns).collect()), key=str) == full
 
 
+@pytest.mark.parametrize("key", [k for k, r in RULES.items() if r.uses_as_of])
+def test_dated_rules_give_all_dates_in_one_pass(spark, key):
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+
+    from mdq.plans.conform import conformed_at_dates, conformed_suite
+    from mdq.sources.tables import Tables
+    t, dates, rule = Tables.from_tpch(spark, SF_SMALL), ["1996-06-30", "1998-06-30", "1998-12-31"], [RULES[key]]
+    got = conformed_at_dates(t, dates, rule)
+    want = reduce(DataFrame.unionByName, [conformed_suite(t, d, rule).withColumn("SNAPSHOT_DATE", F.lit(d).cast("date")) for d in dates])
+    rows = sorted(map(tuple, got.select(want.columns).collect()), key=str)
+    assert rows == sorted(map(tuple, want.collect()), key=str) and len({r[-1] for r in rows}) == 3
+
+
 def test_daily_runs_build_the_same_history(spark, tmp_path):
     from conftest import SF_SMALL
 
