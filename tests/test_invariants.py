@@ -9,7 +9,7 @@ from mdq.functions.scope import prefix_scope
 from mdq.operators import RULES
 from mdq.sources.tables import Tables
 
-from conftest import SF_SMALL
+from datapaths import SF_SMALL
 
 AS_OF = "1998-06-30"
 

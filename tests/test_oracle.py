@@ -5,7 +5,7 @@ from check_oracle import duck_connect, norm_rows
 
 import __spark_entry__ as entry
 
-from conftest import SF_SMALL
+from datapaths import SF_SMALL
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()

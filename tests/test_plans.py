@@ -124,7 +124,7 @@ def test_scorecard_levels_and_ko_listing(spark):
     ("dq_effective_end_date", "part_dim", {"RELEVANCYKNX": "'0'"}), ("dq_kapid", "crca", {"KAPID": "'none'"}),
     ("dq_bstae", "lfm2", {"BSTAE": "'zz'"}), ("dq_loekz", "marc", {"LVORM": "'X'"}), ("dq_lvorm", "crhd", {"LVORM": "NULL"})])
 def test_changed_dimension_is_seen_in_the_same_session(spark, tmp_path, key, table, change):
-    from conftest import SF_SMALL
+    from datapaths import SF_SMALL
 
     from mdq.sources.tables import Tables
     base = Tables.from_tpch(spark, SF_SMALL)
@@ -169,7 +169,7 @@ def test_dated_rules_give_all_dates_in_one_pass(spark, key):
     from pyspark.sql import DataFrame
     from pyspark.sql import functions as F
 
-    from conftest import SF_SMALL
+    from datapaths import SF_SMALL
 
     from mdq.plans.conform import conformed_at_dates, conformed_suite
     from mdq.sources.tables import Tables
@@ -181,7 +181,7 @@ def test_dated_rules_give_all_dates_in_one_pass(spark, key):
 
 
 def test_daily_runs_build_the_same_history(spark, tmp_path):
-    from conftest import SF_SMALL
+    from datapaths import SF_SMALL
 
     from mdq.plans.history import daily_run, history_query, read_history
     from mdq.sources.tables import Tables
@@ -198,7 +198,7 @@ def test_daily_runs_build_the_same_history(spark, tmp_path):
 
 
 def test_sql_views_and_cli(spark, tmp_path):
-    from conftest import SF_SMALL
+    from datapaths import SF_SMALL
 
     from mdq.__main__ import main
     from mdq.sql import register_views

@@ -16,7 +16,7 @@ from mdq.operators import RULES
 from mdq.oracle.rules_sql import rule_body
 from mdq.sources.tables import TABLE_NAMES, Tables
 
-from conftest import SF_SMALL
+from datapaths import SF_SMALL
 
 AS_OF = "1998-06-30"
 HOT_KEYS = ["dq_aplfz", "dq_bpumn", "dq_bstae", "dq_effpr", "dq_kapid", "dq_loekz", "dq_lvorm", "dq_minbm",

@@ -6,7 +6,7 @@ from check_oracle import duck_connect, norm_rows
 from mdq.sources import erp_fixtures
 from mdq.sources.tables import TABLE_NAMES, Tables
 
-from conftest import SF_SMALL
+from datapaths import SF_SMALL
 
 
 @pytest.fixture(scope="module")
