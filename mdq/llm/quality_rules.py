@@ -3,8 +3,9 @@
 A document's characters are counted in classes (small and capital letters,
 digits, spaces, sentence marks, symbols, others) and its words in one bin for
 each common word of its language and one for all other words. Both histograms
-are compared with references, the means over the corpus' documents in that
-language, by the Jensen-Shannon distance (0 to 1). A document is kept if
+are compared with references, the means over the language's distinct texts that
+pass the base rules, by the Jensen-Shannon distance (0 to 1), so that neither
+copies nor base-failed junk move a reference. A document is kept if
 neither distance passes its limit. Short documents have ragged histograms, so a
 comparison is made only from a minimum length on.
 
@@ -32,6 +33,8 @@ SENTENCE = ".,;:!?'\"()-"
 N_COMMON = 60
 WINDOW = 8
 MAX_WORD = 40            # bytes; a longer word is never a common one
+COPY_BITS = 24           # slots of the map of texts that occur more than once
+TEXT = ["lang", "h1", "h2"]
 CLASSES = ["small", "capital", "other letter", "digit", "space", "sentence", "symbol", "other"]
 
 
@@ -132,10 +135,50 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((kl(p) + kl(q)) / 2, 0, 1))
 
 
-def common_words(docs: DataFrame, n: int = N_COMMON) -> dict[str, dict[bytes, int]]:
-    """For each language its ``n`` words that occur in most documents (ties by
-    the word), numbered. Every document counts. Tasks add up their words before
-    the shuffle and hand counts on when they hold 300,000 words."""
+def copied_slots(rows: DataFrame) -> np.ndarray:
+    """A bit for each of ``1 << COPY_BITS`` slots of the text hash: set where a
+    text of the slot occurs more than once in its language. Texts of other
+    slots are distinct, and need no shuffle to count once."""
+    slot = F.col("h1").bitwiseAND(F.lit((1 << COPY_BITS) - 1))
+    twice = rows.groupBy(*TEXT).agg(F.count("*").alias("n")).filter("n > 1").select(slot.alias("s"))
+    got = (twice.groupBy(F.shiftright("s", 15).alias("b"))
+           .agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).collect())
+    out = np.zeros((1 << COPY_BITS - 15, 1 << 12), np.uint8)
+    for r in got:                                             # at most 512 rows of 4 KB
+        out[r["b"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.reshape(-1)
+
+
+def _copied(h1: pa.Array, slots: np.ndarray) -> np.ndarray:
+    s = h1.to_numpy(zero_copy_only=False) & ((1 << COPY_BITS) - 1)
+    return (slots[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def common_words(rows: DataFrame, slots: np.ndarray, limits: Limits, n: int = N_COMMON) -> dict[str, dict[bytes, int]]:
+    """For each language its ``n`` words that occur in most of its distinct
+    texts that pass the base rules (ties by the word), numbered. Only texts in
+    ``slots`` are shuffled, one of each from a task. Tasks add up their words
+    before the shuffle and hand counts on when they hold 300,000 words."""
+    def passes(text):
+        words = text.encode().split()
+        return len(words) >= limits.base_words and 100 * repeated_words(words) <= limits.base_repeat * len(words)
+
+    def single(batches):
+        for b in batches:
+            yield b.filter(pa.array(~_copied(b.column("h1"), slots)))
+
+    def copies(batches):
+        seen: set = set()
+        for b in batches:
+            b = b.filter(pa.array(_copied(b.column("h1"), slots)))
+            new = []
+            for key in zip(*(b.column(c).to_pylist() for c in TEXT)):
+                new.append(key not in seen)
+                seen.add(key)
+            if len(seen) > 200_000:
+                seen.clear()
+            yield b.filter(pa.array(new, pa.bool_()))
+
     def add_up(batches):
         held: dict = {}
 
@@ -147,14 +190,18 @@ def common_words(docs: DataFrame, n: int = N_COMMON) -> dict[str, dict[bytes, in
                 yield pa.record_batch([pa.array(lang, pa.string()), pa.array(w, pa.binary()), pa.array(k, pa.int64())],
                                       ["lang", "word", "n"])
         for b in batches:
-            for lang, text in zip(*(c.to_pylist() for c in b.columns)):
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                if not passes(text):
+                    continue
                 held.setdefault(lang, Counter()).update(set(text.encode().translate(_PLAIN).split()))
                 if sum(map(len, held.values())) > 300_000:
                     yield from emit()
         yield from emit()
 
     by = W.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = (docs.select("lang", "text").mapInArrow(add_up, "lang string, word binary, n bigint")
+    rows, counted = rows.select(*TEXT, "text"), "lang string, word binary, n bigint"
+    of_copies = rows.mapInArrow(copies, rows.schema).dropDuplicates(TEXT).mapInArrow(add_up, counted)
+    top = (rows.mapInArrow(lambda batches: add_up(single(batches)), counted).unionByName(of_copies)
            .filter(F.length("word") <= MAX_WORD)
            .groupBy("lang", "word").agg(F.sum("n").alias("n"))
            .withColumn("k", F.row_number().over(by)).filter(F.col("k") <= n))
@@ -178,15 +225,25 @@ def measure_batch(b: pa.RecordBatch, common: dict[str, dict[bytes, int]]) -> pa.
                            [x.split(" ")[0] for x in MEASURES.split(", ")])
 
 
-def measures(docs: DataFrame, common: dict[str, dict[bytes, int]]) -> DataFrame:
-    return docs.select("doc_id", "lang", "text").mapInArrow(
-        lambda batches: (measure_batch(b, common) for b in batches), MEASURES)
+def measures(rows: DataFrame, common: dict[str, dict[bytes, int]], slots: np.ndarray) -> DataFrame:
+    """Measures of each row, with its text's hash and whether it may have copies."""
+    def run(batches):
+        for b in batches:
+            m = measure_batch(b.select(["doc_id", "lang", "text"]), common)
+            for c in ("h1", "h2"):
+                m = m.append_column(c, b.column(c))
+            yield m.append_column("copied", pa.array(_copied(b.column("h1"), slots)))
+    return rows.select("doc_id", "lang", "text", "h1", "h2").mapInArrow(run, MEASURES + ", h1 bigint, h2 bigint, copied boolean")
 
 
 def references(m: DataFrame, limits: Limits, n: int = N_COMMON) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """For each language the mean class histogram and the mean histogram of its
-    common words (the last bin: all others) over the documents long enough."""
-    long = m.filter((F.col("n_words") >= limits.min_words) & (F.col("n_plain") > 0))
+    common words (the last bin: all others) over its distinct texts that are
+    long enough and pass the base rules."""
+    long = m.filter((F.col("n_words") >= limits.min_words) & (F.col("n_plain") > 0) & (F.col("n_words") >= limits.base_words)
+                    & (100 * F.col("n_repeat_words") <= limits.base_repeat * F.col("n_words")))
+    long = long.select(*TEXT, "n_plain", "classes", "words", "counts", "copied")
+    long = long.filter("not copied").unionByName(long.filter("copied").dropDuplicates(TEXT))
     total = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, x: a + x)
     cls = (long.select("lang", total.alias("t"), F.posexplode("classes").alias("k", "x"))
            .groupBy("lang", "k").agg(F.avg(F.col("x") / F.col("t")).alias("v")).collect())
@@ -249,7 +306,8 @@ class Rules:
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
+        "*", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(17), "text").alias("h2"))
 
 
 def judge(docs: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, Rules]:
@@ -257,14 +315,16 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, Rules]
 
     Null text has no word and fails the base rules, as does any text under 20
     words; null lang is a language of its own (und); a language without a
-    document of the minimum length has no reference, and its documents are held
-    to the base rules alone. Repeated rows count each time. An empty table has
+    document of the minimum length that passes the base rules has no reference,
+    and its documents are held to the base rules alone. Repeated rows each get
+    a verdict, but their text counts once in the references. An empty table has
     no verdicts. Distances that a guard leaves out are null. The counts are
     written once, so the references see all documents before the first verdict.
     """
     rows = _plain(docs)
-    common = common_words(rows)
-    m = write_shared(measures(rows, common), "rules-measures")
+    slots = copied_slots(rows)
+    common = common_words(rows, slots, limits)
+    m = write_shared(measures(rows, common, slots), "rules-measures")
     refs = references(m, limits)
     return verdicts(m, refs, limits), Rules(common, refs, limits)
 

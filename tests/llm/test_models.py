@@ -138,6 +138,30 @@ def test_divergence_rejects_junk_and_keeps_prose(ready):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, r in got.items() if r.kept)
 
 
+@pytest.mark.parametrize("junk", [False, True])
+def test_copies_do_not_become_the_reference(ready, make_docs, junk):
+    docs = [(r.doc_id, r.text, r.lang) for r in read_table(ready, SF, "documents").collect()]
+    labels = {r.doc_id: r.quality for r in read_table(ready, SF, "labels").collect()}
+    of = [(d, t, x) for d, t, x in docs if x == "es" and labels.get(d) == int(not junk) and len(t.split()) >= 60]
+    copied = min(of)
+    rows = docs + [(10**6 + i, *copied[1:]) for i in range(len(docs) // 2)]        # a third of all rows
+    got = {r.doc_id: r for r in quality_rules.judge(make_docs(rows))[0].collect()}
+    assert len(got) == len(rows)
+    clean = [d for d, _, x in docs if x == "es" and labels.get(d) == 1 and not got[d].base_failed]
+    assert len(clean) > 10 and np.mean([got[d].kept for d in clean]) > 0.99
+
+
+def test_references_count_a_text_once_and_leave_out_failed_ones(make_docs):
+    r = np.random.default_rng(1)
+    texts = [" ".join(r.choice(["alpha", "beta", "gamma", "delta", "eps"], 60)) for _ in range(20)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    _, plain = quality_rules.judge(make_docs(rows))
+    _, more = quality_rules.judge(make_docs(rows + [(100 + i, texts[0], "en") for i in range(50)] + [(200 + i, "zz # " * 50, "en") for i in range(50)]))
+    assert more.common == plain.common
+    for a, b in zip(plain.refs["en"], more.refs["en"]):
+        assert np.allclose(a, b)
+
+
 def test_distance():
     p, q = np.array([[1.0, 0], [0.5, 0.5]]), np.array([[0, 1.0], [0.5, 0.5]])
     assert quality_rules.js_distance(p, q).tolist() == pytest.approx([1, 0])
