@@ -5,6 +5,11 @@ Then, within the family, one-versus-one linear support vector machines between
 every two of its languages, by vote. Features are the square roots of hashed
 counts of three-byte sequences of the lower-cased letters, scaled to length 1.
 Trained in numpy on a bounded sample.
+
+The score compares the learned families and languages with one another. Whether
+a text is in any of them is told by the answer of its family's machine alone: a
+text that shares no sequences with the learned ones gets about 0.5, or less where
+a single family is learned and the zero vector stands for all other texts.
 """
 
 from __future__ import annotations
@@ -55,6 +60,11 @@ def has_letter(text: str) -> bool:
     return any(m.group().isalpha() for m in _LETTER.finditer(text))
 
 
+def n_letters(text: str) -> int:
+    """Bytes of the text that count as letters in its features."""
+    return int((_KEEP[np.frombuffer(text.lower().encode(), np.uint8)] != 32).sum())
+
+
 def features(text: str) -> np.ndarray:
     """The text's feature vector (float32). Very long texts are counted in blocks."""
     raw = _KEEP[np.frombuffer(text.lower().encode(), np.uint8)]
@@ -106,8 +116,13 @@ class LanguageModel:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Languages and scores; ``und`` with score 0 for texts without a letter."""
+        return self.answers(texts)[:2]
+
+    def answers(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Languages, scores and the answers of the winning families' machines
+        (0 to 1, not set against the other families)."""
         known = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.families else []
-        lang, score = ["und"] * len(texts), [0.0] * len(texts)
+        lang, score, answer = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         for at in range(0, len(known), 256):
             rows = known[at:at + 256]
             z = np.stack([features(texts[i]) for i in rows]) @ self.weights + self.bias
@@ -115,6 +130,8 @@ class LanguageModel:
             e = _sigmoid(z[:, :nf])
             fam = e.argmax(1)
             p_fam = e[np.arange(len(rows)), fam] / np.maximum(e.sum(1), 1e-12)
+            for r, a in zip(rows, e.max(1).tolist()):
+                answer[r] = a
             p = _sigmoid(z[:, nf:])
             for f, names in enumerate(self.members):
                 own = np.flatnonzero(fam == f)
@@ -132,7 +149,7 @@ class LanguageModel:
                 inside = trust[np.arange(len(own)), best] / (len(names) - 1) if len(names) > 1 else np.ones(len(own))
                 for r, k, s in zip(own.tolist(), best.tolist(), (p_fam[own] * inside).tolist()):
                     lang[rows[r]], score[rows[r]] = names[k], min(1.0, float(s))
-        return lang, score
+        return lang, score, answer
 
 
 def fit(docs: DataFrame, per_language: int = 250, max_rows: int = 4000, seed: int = 6) -> LanguageModel:
@@ -168,7 +185,10 @@ def fit(docs: DataFrame, per_language: int = 250, max_rows: int = 4000, seed: in
     members = [[n for n in names if family(n) == f] for f in fams]
     fam = np.array([fams.index(family(n)) for n in langs.tolist()])
     y = np.where(fam[:, None] == np.arange(len(fams)), 1.0, -1.0).astype(np.float32)
-    w, b = train_svm(x, y)
+    if len(fams) == 1:                                        # no other family: the zero vector is the other side
+        w, b = train_svm(np.concatenate([x, np.zeros_like(x[:1])]), np.concatenate([y, -y[:1]]))
+    else:
+        w, b = train_svm(x, y)
     weights, bias, pairs = [w], [b], []
     for f, own in enumerate(members):
         for i, j in combinations(range(len(own)), 2):
@@ -196,10 +216,19 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return out.select(*[f"`{c}`" for c in names], "li__.lang_pred", "li__.score")
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, min_score: float = 0.3) -> DataFrame:
-    """The documents that have a language: not ``und``, score at least ``min_score``."""
-    got = identify(docs, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
-    return got.select(*[f"`{c}`" for c in docs.columns])
+def keep_known(docs: DataFrame, model: LanguageModel, min_answer: float = 0.7, min_letters: int = 100) -> DataFrame:
+    """The documents that have a language: not ``und``, and the answer of the
+    winning family's machine is at least ``min_answer``, whatever the number of
+    families and languages. Texts of fewer than ``min_letters`` letter bytes
+    are too short for that and are held to the first condition alone."""
+    @F.arrow_udf("boolean")
+    def known(text: pa.Array) -> pa.Array:
+        texts = text.to_pylist()
+        lang, _, answer = model.answers(texts)
+        return pa.array([x != "und" and (a >= min_answer or n_letters(t) < min_letters)
+                         for t, x, a in zip(texts, lang, answer)], pa.bool_())
+
+    return docs.select(*[f"`{c}`" for c in docs.columns]).filter(known(F.col("text")))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

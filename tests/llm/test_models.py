@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest_llm import ODD
 from mdq.llm import language_id, quality_classifier, quality_rules
@@ -96,6 +97,26 @@ def test_language_odd_rows(make_docs):
     assert language_id.identify(make_docs([]), model).count() == 0
 
 
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。人人有资格享有本宣言所载的一切权利和自由。",
+    " ".join(f"{i * 2654435761 % 2 ** 32:08x}" for i in range(1, 80)),
+]
+
+
+@pytest.mark.parametrize("langs", [["de", "en", "es", "fr"], ["en"]])
+def test_unlearned_languages_are_left_out(ready, make_docs, langs):
+    docs = read_table(ready, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars").filter(F.col("lang").isin(langs))
+    model = language_id.fit(docs)
+    n = docs.count()
+    assert language_id.keep_known(docs, model).count() > 0.97 * n
+    foreign = [(i, t, None) for i, t in enumerate(FOREIGN)]
+    short = [(100, "the cat", None), (101, "the", None), (102, "12 34", None)]
+    assert sorted(r.doc_id for r in language_id.keep_known(make_docs(foreign + short), model).collect()) == [100, 101]
+
+
 def test_features_of_long_texts_in_blocks(monkeypatch):
     t = "the quick brown fox über den Zaun " * 300
     whole = language_id.features(t)
