@@ -29,10 +29,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mdq.llm.common import read_table
-from mdq.llm.tokens import _OTHER_SPACE, _SIMPLE, _SPACED, BYTE_BPE, Memo, byte_letters, text_groups, vocabulary
+from mdq.llm.tokens import _LETTERS, _OTHER_SPACE, _SIMPLE, _SPACED, BYTE_BPE, Memo, byte_letters, text_groups, vocabulary
 
 LIMIT = 512
+LONG = 64                # characters; the prefixes of longer pieces are read from pre-tokens that are cut once
 
+#: White space that the vocabulary's split knows beside ASCII's. Its runs are
+#: kept whole, so texts with it may be cut in front of them as well.
+_S = " \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WIDE_SPACED = re.compile(rf"[{_S}]*{_LETTERS}|[{_S}]*[^{_S}]+|[{_S}]+")
+_CONTROL_SPACE = re.compile("[\x1c-\x1f]")
 
 class PrefixCounter:
     """Token counts of a text and of all its prefixes."""
@@ -49,6 +55,8 @@ class PrefixCounter:
         self.letters = byte_letters()
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special_re = re.compile("|".join(map(re.escape, special))) if special else None
+        #: No token stands for more bytes than this.
+        self.max_bytes = max(max(map(len, model["vocab"])), *(len(t.encode()) for t in special), 1)
         ids = {t: i for t, i in model["vocab"].items() if t not in special}
         self.merge_of: dict[int, int] = {}                     # a << 32 | b -> rank
         self.born: dict[int, tuple[int, int, int]] = {}        # token -> rank of its merge, left, right
@@ -116,7 +124,10 @@ class PrefixCounter:
 
     def cumulative(self, text: str) -> tuple[list[str], np.ndarray]:
         """The text's pieces, and the token count at the end of each."""
-        pieces = [text] if not text.isascii() and _OTHER_SPACE.search(text) else _SPACED.findall(text)
+        if text.isascii() or not _OTHER_SPACE.search(text):
+            pieces = _SPACED.findall(text)
+        else:
+            pieces = [text] if _CONTROL_SPACE.search(text) else _WIDE_SPACED.findall(text)
         return pieces, np.cumsum(np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces)))
 
     def prefixes(self, text: str) -> np.ndarray:
@@ -129,6 +140,73 @@ class PrefixCounter:
         return out
 
     def piece_prefixes(self, p: str) -> np.ndarray:
+        """Counts of p[:i] for i = 0 .. len(p)."""
+        if len(p) <= LONG:
+            return self.split_prefixes(p)
+        units = self.units(p)
+        return np.concatenate([[0]] + [self.unit_prefixes(p, units, j) for j in range(len(units[0]) - 1)]).astype(np.int64)
+
+    def units(self, p: str) -> tuple[list[int], list[int]]:
+        """Borders of the pre-tokens and special tokens of p, and the token
+        count at each border."""
+        at, cum, lo = [0], [0], 0
+        specials = [m.span() for m in self.special_re.finditer(p)] if self.special_re is not None else []
+        for start, end in [*specials, (len(p), len(p))]:
+            for w, (_, e) in self.split(p[lo:start]) if start > lo else ():
+                at.append(lo + e)
+                cum.append(cum[-1] + self.table(w)[-1])
+            if end > start:
+                at.append(end)
+                cum.append(cum[-1] + 1)
+            lo = end
+        return at, cum
+
+    def unit_prefixes(self, p: str, units: tuple[list[int], list[int]], j: int) -> np.ndarray:
+        """Counts of p[:i] for the ends i inside unit j, its border included.
+
+        A cut inside a unit changes at most the split of the unit in front of it
+        (white space hands its last character on, and in front of a special
+        token it does not), so the splits start two units further ahead. Of a
+        long unit, a run of one kind of characters, all but the shortest
+        prefixes are a single pre-token, and one table has their counts."""
+        at, cum = units
+        lo, hi, base = at[j], at[j + 1], max(0, j - 2)
+        near = hi if hi - lo <= LONG else lo + 4
+        known: dict[str, int] = {}
+
+        def count(q: str) -> int:
+            if self.special_re is not None and self.special_re.search(q):
+                return self.piece(q)
+            total = 0
+            for w, _ in self.split(q):
+                if w not in known:
+                    known[w] = self.table(w)[-1]
+                total += known[w]
+            return total
+
+        out = [cum[base] + count(p[at[base]:i]) for i in range(lo + 1, near + 1)]
+        if near < hi:
+            raw = p[lo:hi].encode()
+            table = np.array(self.table(raw.decode("latin-1").translate(self.letters)))
+            ends = np.flatnonzero(np.append((np.frombuffer(raw, np.uint8)[1:] & 0xC0) != 0x80, True)) + 1
+            out += (cum[j] + table[ends[near - lo:]]).tolist()
+        return np.array(out, np.int64)
+
+    def last_within(self, p: str, budget: int) -> int:
+        """The largest i with at most ``budget`` tokens in p[:i]."""
+        if len(p) <= LONG:
+            return int(np.flatnonzero(self.split_prefixes(p) <= budget)[-1])
+        p = p[:budget * self.max_bytes + 1]        # a longer prefix has more tokens than that
+        units = self.units(p)
+        at, cum = units
+        # a prefix that ends in unit j holds all before unit j - 2, and more
+        for j in range(min(int(np.searchsorted(cum, budget)) + 2, len(at) - 2), -1, -1):
+            inside = np.flatnonzero(self.unit_prefixes(p, units, j) <= budget)
+            if len(inside):
+                return at[j] + int(inside[-1]) + 1
+        return 0
+
+    def split_prefixes(self, p: str) -> np.ndarray:
         """Counts of p[:i], each prefix split as it stands alone; the table of
         a pre-token that two prefixes share is filled once."""
         tables: dict[str, int] = {}
@@ -148,15 +226,14 @@ class PrefixCounter:
     def fit(self, cumulated, text: str, budget: int) -> int:
         """Length of the longest prefix with at most ``budget`` tokens. Pieces
         end at exact counts, so only the first piece beyond the budget is
-        looked at by its own prefix table."""
+        looked at by its own prefixes."""
         pieces, cum = cumulated
         if not len(cum) or cum[-1] <= budget:
             return len(text)
         k = int(np.searchsorted(cum, budget, side="right"))
         left = budget - (int(cum[k - 1]) if k else 0)
         # in front of the piece: what a longer prefix can add is inside it alone
-        inside = np.flatnonzero(self.piece_prefixes(pieces[k]) <= left)
-        return sum(map(len, pieces[:k])) + int(inside[-1])
+        return sum(map(len, pieces[:k])) + self.last_within(pieces[k], left)
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}

@@ -43,6 +43,37 @@ def test_prefix_counts_are_exact_at_every_prefix():
             assert c.fit(c.cumulative(t), t, budget) == max(i for i, x in enumerate(want) if x <= budget)
 
 
+def test_prefix_counts_of_long_pieces():
+    tok, c = Tokenizer.from_file(vocabulary(BYTE_BPE)), token_counts.PrefixCounter(vocabulary(BYTE_BPE))
+    n = lambda t: len(tok.encode(t, add_special_tokens=False).ids)
+    r = random.Random(4)
+    parts = ["a" * 90, "日本語" * 40, "." * 70, " " * 80, "\xa0" * 70, "1" * 70, "<|endoftext|>", "<|endo", "'ll", "é", " b", "\x1c", "\u3000", "、"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(2, 7))) for _ in range(60)]
+    for t in texts + ["\x1c" + "".join(samples(6, seed)[-6:]) for seed in range(40)]:
+        want = [n(t[:i]) for i in range(len(t) + 1)]
+        assert c.piece_prefixes(t).tolist() == want and c.prefixes(t).tolist() == want
+        for budget in (0, 2, 7, 20):
+            best = max(i for i, x in enumerate(want) if x <= budget)
+            assert c.last_within(t, budget) == best and c.fit(c.cumulative(t), t, budget) == best
+
+
+def test_very_long_texts_come_to_an_end(make_docs):
+    import time
+    tok, c = Tokenizer.from_file(vocabulary(BYTE_BPE)), token_counts.PrefixCounter(vocabulary(BYTE_BPE))
+    r = random.Random(5)
+    words = " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(1, 9))) for _ in range(180_000))
+    chinese = "".join(chr(r.randint(0x4E00, 0x9FA5)) if r.random() > 0.05 else r.choice("，。") for _ in range(350_000))
+    for t in (words[:500_000] + "\xa0" + words[500_000:], "\x1c" + words, chinese, "天" * 350_000, "ab1" * 300_000):
+        began = time.monotonic()
+        cumulated = c.cumulative(t)
+        got = c.fit(cumulated, t, 512)
+        assert time.monotonic() - began < 60
+        assert int(cumulated[1][-1]) == len(tok.encode(t, add_special_tokens=False).ids)
+        # every prefix up to the point where even the longest tokens cannot fit is counted near the border
+        counts = [len(e.ids) for e in tok.encode_batch([t[:i] for i in range(max(0, got - 20), got + 150)], add_special_tokens=False)]
+        assert max(i for i, x in enumerate(counts) if x <= 512) + max(0, got - 20) == got
+
+
 def test_token_counts_rows(make_docs):
     tok = Tokenizer.from_file(vocabulary(BYTE_BPE))
     docs = make_docs(ODD, extra=["n_tokens", "over_limit"])
