@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from mdq.llm import (
+    centroids,
+    embedding_join,
+    filter_audit,
     fingerprints,
     language_id,
     mixing,
@@ -26,9 +29,14 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_mixing": mixing.op9_mixing,
     "op10_token_files": token_files.op10_token_files,
+    "op11_embedding_join": embedding_join.op11_embedding_join,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_centroids": centroids.op13_centroids,
 }
 
 ORACLE_SQL = {
     "op2_warc": warc.OP2_SQL,
     "op9_mixing": mixing.OP9_SQL,
+    "op12_filter_audit": filter_audit.OP12_SQL,
+    "op13_centroids": centroids.OP13_SQL,
 }
