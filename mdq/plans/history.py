@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from mdq.plans.catalog import enabled_rules
 from mdq.plans.conform import KEY, conformed_at_dates, conformed_suite
+from mdq.plans.history_store import HistoryStore
 from mdq.sources.tables import Tables
 
 col = F.col
@@ -138,56 +139,37 @@ def advance_history(history: DataFrame | None, snapshot: DataFrame, as_of: str)
     return history.where(col("VALID_TO").isNotNull()).select(moved.columns).unionByName(moved)
 
 
-#: A stored history: ``<root>/AS_OF=<date>/IS_OPEN=<0 or 1>``. Each run writes the
-#: intervals that it closed (never touched again) and those open after it.
-STORED = T.StructType([T.StructField(n, T.StringType()) for n in KEY]
-                      + [T.StructField(n, T.IntegerType()) for n in ("COMPLETENESS", "ACCURACY")]
-                      + [T.StructField(n, T.DateType()) for n in ("VALID_FROM", "VALID_TO", "AS_OF")]
-                      + [T.StructField("IS_OPEN", T.IntegerType())])
-
-
 def finished_runs(spark: SparkSession, root: str) -> list[str]:
-    """The dates whose run under ``root`` was written to its end, in order."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/AS_OF=*/_SUCCESS")
-    done = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(x.getPath().getParent().getName().removeprefix("AS_OF=") for x in done or [])
+    """The dates of the runs that the history's manifest names, in order."""
+    return HistoryStore(spark, root).dates()
 
 
 def read_history(spark: SparkSession, root: str, as_of: str | None = None) -> DataFrame:
-    """The intervals after the run of ``as_of`` (default: the last finished
-    one): all that were closed by then, and those that this run left open. The
-    other runs' open intervals are pruned by their folder."""
-    runs = finished_runs(spark, root)
-    if not runs or as_of is not None and as_of not in runs:
-        raise ValueError(f"no finished run{f' of {as_of}' if as_of else ''} under {root}")
-    last = F.lit(as_of or runs[-1]).cast("date")
-    rows = spark.read.schema(STORED).parquet(root)
-    return (rows.where(((col("IS_OPEN") == 1) & (col("AS_OF") == last)) | ((col("IS_OPEN") == 0) & (col("AS_OF") <= last)))
-            .drop("AS_OF", "IS_OPEN"))
-
-
-def append_history(snapshot: DataFrame, root: str, as_of: str, new_history: bool = False) -> None:
-    """Add the snapshot of ``as_of`` to the history under ``root``: one join of
-    the last run's open intervals, one write; closed intervals are not reread.
-
-    A rerun of the last date starts from the run before it and replaces its own
-    folder. A date before a finished run is refused. A history is started only
-    on request, so a forgotten past is an error and not a loss."""
-    spark = snapshot.sparkSession
-    runs = finished_runs(spark, root)
-    if runs and as_of < runs[-1]:
+    """The intervals after the run of ``as_of`` (default: the last one)."""
+    return HistoryStore(spark, root).read(as_of)
+
+
+def append_history(snapshot: DataFrame, root: str, as_of: str, new_history: bool = False, late: bool = False) -> None:
+    """Add the snapshot of ``as_of`` to the history under ``root`` (``HistoryStore.put``).
+
+    A rerun of the last date replaces it. An earlier date is spliced in, but
+    only on request (``late``), and so is a history started, so a wrong date or
+    a forgotten past is an error and not a loss."""
+    store = HistoryStore(snapshot.sparkSession, root)
+    runs = store.dates()
+    if runs and as_of < runs[-1] and not late:
         raise ValueError(f"the history already reaches {runs[-1]}; {as_of} is earlier")
     before = [d for d in runs if d < as_of]
-    if new_history == bool(before):
+    if late and not runs or not late and new_history == bool(before):
         raise ValueError(f"{root} has a history up to {before[-1]}" if before else f"{root} has no history before {as_of}; ask for a new one")
-    open_ = read_history(spark, root, before[-1]).where(col("VALID_TO").isNull()) if before else None
-    (_moved(open_, snapshot, as_of).withColumn("IS_OPEN", col("VALID_TO").isNull().cast("int"))
-     .write.mode("overwrite").partitionBy("IS_OPEN").parquet(f"{root.rstrip('/')}/AS_OF={as_of}"))
+    store.put(snapshot, as_of)
 
 
-def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None, new_history: bool = False) -> DataFrame:
+def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None, new_history: bool = False,
+              late: bool = False) -> DataFrame:
     """One scheduled run: conformed suite -> dated snapshot -> history (the
-    snapshot appended to the earlier runs') -> scorecard.
+    snapshot appended to the earlier runs', or spliced in if it is ``late``) ->
+    scorecard.
 
     The suite reads tables and shared views that are written once for the run."""
     from mdq.plans.catalog import catalog_df
@@ -197,5 +179,5 @@ def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None
     write_snapshot(conformed_suite(t.materialize(), as_of), snapshot_root, as_of)
     snap = spark.read.parquet(f"{snapshot_root.rstrip('/')}/SNAPSHOT_DATE={as_of}")
     if history_root:
-        append_history(snap, history_root, as_of, new_history)
+        append_history(snap, history_root, as_of, new_history, late)
     return scorecard(snap, catalog_df(spark))
