@@ -75,13 +75,17 @@ def dq_from_gmid(t: Tables, as_of=None) -> DataFrame:
     return result(df, SS, "GMID", "from_gmid code", per_date(as_of, lambda d: c, "_on"), per_date(as_of, lambda d: a, "_on"))
 
 
-def _site_checks(t: Tables, site: str, uid: str, label: str) -> DataFrame:
+def site_flags(site: str, uid: str):
+    """Completeness and accuracy of a site against the text after '_' of its uid."""
     u = col(uid)
     after_bar = F.substr(u, F.instr(u, "_") + 1)
-    df = t.bod.where(kinaxis())
-    c = first_match(col(site).isNull())
-    a = first_match((F.lower(F.split_part(u, F.lit("_"), F.lit(1))) == "kinaxis") & (col(site) != after_bar))
-    return result(df, SS, "GMID", label, c, a)
+    return (first_match(col(site).isNull()),
+            first_match((F.lower(F.split_part(u, F.lit("_"), F.lit(1))) == "kinaxis") & (col(site) != after_bar)))
+
+
+def _site_checks(t: Tables, site: str, uid: str, label: str) -> DataFrame:
+    c, a = site_flags(site, uid)
+    return result(t.bod.where(kinaxis()), SS, "GMID", label, c, a)
 
 
 def dq_from_site(t: Tables, as_of=None) -> DataFrame:

@@ -1,7 +1,9 @@
-"""Flag-set expansion for rules that pair check values per material."""
+"""Flag-set expansion, counted copies, and outer joins that leave NULL keys out."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +32,37 @@ def expand_flag_pairs(df: DataFrame, accuracy_null: Column | None = None) -> Dat
     return (df.withColumn("COMPLETENESS", F.explode(c_vals))
               .withColumn("ACCURACY", F.explode(a_vals))
               .drop("_c1", "_c0", "_a1", "_a0"))
+
+
+def expand_copies(df: DataFrame, count: str) -> DataFrame:
+    """Each row as often as its column ``count`` says (which is dropped), in
+    blocks of 1,024 so that no row holds a long array."""
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({count} - 1) div 1024")))
+    left = F.least(F.lit(1024), F.col(count) - F.col("_block") * 1024).cast("int")
+    return (df.withColumn("_block", block).withColumn("_copy", F.explode(F.sequence(F.lit(1), left)))
+            .drop(count, "_block", "_copy"))
+
+
+def left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left outer join on columns of the same names, for keys that may be NULL
+    in a large share of ``left``: such rows find nothing, so they go past the
+    join, with NULL in the columns of ``right``, and are never dealt by the key
+    (a shuffle would put all of them into one partition). Rows and columns are
+    those of ``left.join(right, on, "left")``. ``left`` is read twice, so it
+    should be a table; for a computed one there is ``spread_join``."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    added = [f for f in right.schema.fields if f.name not in on]
+    joined = left.where(whole).join(right, on, "left")
+    past = left.where(~whole).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+    return joined.unionByName(past.select(*joined.columns))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """``left.join(right, on, "left")`` with the rows of a NULL key, which find
+    nothing, dealt by a hash of the whole row, each to some partition. The
+    number that does this is 0 for all other rows, on both sides; on the right
+    it is written so that the optimizer cannot see that it is a constant."""
+    null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    own = F.when(null, F.pmod(F.xxhash64("*"), F.lit(1 << 20)).cast("int")).otherwise(F.lit(0))
+    zero = F.pmod(F.hash(*on), F.lit(1))
+    return left.withColumn("_spread", own).join(right.withColumn("_spread", zero), [*on, "_spread"], "left").drop("_spread")

@@ -9,12 +9,14 @@ the same rows under the final DISTINCT.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdq.functions import any_date, first_match, is_blank, ok_only_if, per_date, result
 from mdq.functions.scope import active_pir, contains_scope, prefix_scope
-from mdq.operators.joins import expand_flag_pairs, flag_presence
+from mdq.operators.joins import expand_copies, expand_flag_pairs, flag_presence, left_join, spread_join
 from mdq.sources.tables import Tables
 
 SS, INFNR, MATNR = "SOURCE_SYSTEM", "INFNR", "MATNR"
@@ -27,16 +29,29 @@ def _pir(t: Tables, *cols) -> DataFrame:
     return t.pir.select(SS, INFNR, *cols)
 
 
-def _active(df: DataFrame) -> DataFrame:
+def ACTIVE():
     """Inner join to active general data: a partner exists and is not deleted."""
-    return df.where(col("_HAS_EINA") & col("EINA_LOEKZ").isNull())
+    return col("_HAS_EINA") & col("EINA_LOEKZ").isNull()
+
+
+@dataclass(frozen=True)
+class PirCheck:
+    """A rule that decides each row of the shared join by itself."""
+    where: Column
+    completeness: Column
+    accuracy: Column
+    bag: bool = False           # duplicates are kept
+
+
+def _checked(t: Tables, label: str, k: PirCheck) -> DataFrame:
+    return result(t.pir.where(k.where), SS, MATNR, label, k.completeness, k.accuracy, distinct=not k.bag)
 
 
 def dq_aplfz(t: Tables, as_of=None) -> DataFrame:
     """R01 planned delivery time (EINE.APLFZ) against the plant data (MARC)."""
     # Only the values matter: a hot material (or the NULL one) is down to its
     # distinct values before the join, by map-side aggregation.
-    base = (_active(_pir(t, MATNR, "APLFZ", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
+    base = (_pir(t, MATNR, "APLFZ", "_HAS_EINA", "EINA_LOEKZ").where(ACTIVE() & prefix_scope())
             .select(SS, MATNR, "APLFZ").distinct())
     # MARC carries one row per plant; keep only the values the flags read.
     marc = t.marc.select(SS, MATNR, "PLIFZ", (col("BESKZ") == "F").alias("_ext")).distinct()
@@ -47,33 +62,52 @@ def dq_aplfz(t: Tables, as_of=None) -> DataFrame:
     return result(df, SS, MATNR, "APLFZ", c, a)
 
 
-def _price_unit_base(t: Tables, field: str) -> DataFrame:
+def _price_units(field: str):
+    """Scope and unit tests that the two price-unit rules share."""
     loekz = col("EINA_LOEKZ")
-    return (_pir(t, MATNR, "MEINS", "BPRME", "BPUMN", "BPUMZ", "_HAS_EINA", "EINA_LOEKZ")
-            .where(col("_HAS_EINA") & (loekz.isNull() | (loekz == "")) & prefix_scope()
-                   & col(field).isNotNull()))
+    where = col("_HAS_EINA") & (loekz.isNull() | (loekz == "")) & prefix_scope() & col(field).isNotNull()
+    same = F.trim(col("BPRME")) == F.trim(col("MEINS"))
+    differ = F.trim(col("BPRME")) != F.trim(col("MEINS"))
+    return where, same, differ, col("BPUMN"), col("BPUMZ")
+
+
+def bpumn() -> PirCheck:
+    where, same, differ, n, z = _price_units("BPUMN")
+    return PirCheck(where, first_match(is_blank("BPRME"), is_blank("MEINS"), n.isNull(), z.isNull()),
+                    first_match(same & ((n != 1) | (z != 1)), differ & (n == 1) & (z == 1), z == 0), bag=True)
+
+
+def bpumz() -> PirCheck:
+    where, same, differ, n, z = _price_units("BPUMZ")
+    return PirCheck(where, first_match(z.isNull(), is_blank("BPRME"), is_blank("MEINS")),
+                    first_match(z == 0, z < 0, same & (z != 1), differ & (z == 1) & (n == 1)), bag=True)
 
 
 def dq_bpumn(t: Tables, as_of=None) -> DataFrame:
     """R03 order-price-unit conversion, BPUMN (bag: duplicates kept)."""
-    df = _price_unit_base(t, "BPUMN")
-    same = F.trim(col("BPRME")) == F.trim(col("MEINS"))
-    differ = F.trim(col("BPRME")) != F.trim(col("MEINS"))
-    n, z = col("BPUMN"), col("BPUMZ")
-    c = first_match(is_blank("BPRME"), is_blank("MEINS"), n.isNull(), z.isNull())
-    a = first_match(same & ((n != 1) | (z != 1)), differ & (n == 1) & (z == 1), z == 0)
-    return result(df, SS, MATNR, "BPUMN", c, a, distinct=False)
+    return _checked(t, "BPUMN", bpumn())
 
 
 def dq_bpumz(t: Tables, as_of=None) -> DataFrame:
     """R04 order-price-unit conversion, BPUMZ (bag)."""
-    df = _price_unit_base(t, "BPUMZ")
-    same = F.trim(col("BPRME")) == F.trim(col("MEINS"))
-    differ = F.trim(col("BPRME")) != F.trim(col("MEINS"))
-    n, z = col("BPUMN"), col("BPUMZ")
-    c = first_match(z.isNull(), is_blank("BPRME"), is_blank("MEINS"))
-    a = first_match(z == 0, z < 0, same & (z != 1), differ & (z == 1) & (n == 1))
-    return result(df, SS, MATNR, "BPUMZ", c, a, distinct=False)
+    return _checked(t, "BPUMZ", bpumz())
+
+
+def material_of(t: Tables, checked: DataFrame) -> DataFrame:
+    """The materials of ``checked`` by info record alone, in whatever system."""
+    pairs = t.eina.where(col(INFNR).isNotNull()).select(INFNR, MATNR).distinct()
+    return checked.join(pairs, INFNR, "left")       # distinct flags: of a NULL info record, few rows are left
+
+
+def bstae_checked(t: Tables) -> DataFrame:
+    """R05 up to the join with EINA: SS, INFNR and the flags, distinct."""
+    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "EKORG", "BSTAE")
+    vm = t.lfm2.select("EKORG", col("BSTAE").alias("_VM_BSTAE")).distinct()
+    bstae, vm_bstae = col("BSTAE"), col("_VM_BSTAE")
+    return (left_join(eine, vm.where("EKORG is not null"), ["EKORG"])
+            .select(SS, INFNR, first_match(bstae.isNull()).alias("_C"),
+                    first_match(bstae.isNull(), vm_bstae.isNotNull() & (bstae != vm_bstae)).alias("_A"))
+            .distinct())
 
 
 def dq_bstae(t: Tables, as_of=None) -> DataFrame:
@@ -82,17 +116,13 @@ def dq_bstae(t: Tables, as_of=None) -> DataFrame:
     The vendor master is matched on EKORG only and EINA on INFNR only; both
     are reduced to distinct (key, value) first.
     """
-    eine = t.eine.where(prefix_scope()).select(SS, INFNR, "EKORG", "BSTAE")
-    vm = t.lfm2.select("EKORG", col("BSTAE").alias("_VM_BSTAE")).distinct()
-    bstae, vm_bstae = col("BSTAE"), col("_VM_BSTAE")
-    checked = (eine.join(vm, "EKORG", "left")
-               .select(SS, INFNR,
-                       first_match(bstae.isNull()).alias("_C"),
-                       first_match(bstae.isNull(), vm_bstae.isNotNull() & (bstae != vm_bstae)).alias("_A"))
-               .distinct())
-    pir = t.eina.select(INFNR, MATNR).distinct()
-    df = checked.join(pir, INFNR, "left")
-    return result(df, SS, MATNR, "BSTAE", "_C", "_A")
+    return result(material_of(t, bstae_checked(t)), SS, MATNR, "BSTAE", "_C", "_A")
+
+
+def effpr() -> PirCheck:
+    """Completeness and accuracy of a single row: no price, price 0, any other."""
+    p = col("EFFPR")
+    return PirCheck(ACTIVE() & prefix_scope(), first_match(p.isNull()), F.when(p.isNotNull(), first_match(p == 0)))
 
 
 def dq_effpr(t: Tables, as_of=None) -> DataFrame:
@@ -102,11 +132,10 @@ def dq_effpr(t: Tables, as_of=None) -> DataFrame:
     accuracy value seen over the priced rows; accuracy is NULL when the
     material has no priced row or the material number is NULL.
     """
-    base = _active(_pir(t, MATNR, "EFFPR", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
-    p = col("EFFPR")
-    g = (base.withColumnRenamed(MATNR, "GMID")
-         .groupBy(SS, "GMID")
-         .agg(*flag_presence(p.isNull(), p.isNotNull(), p == 0, p != 0)))
+    k = effpr()
+    c, a = k.completeness, k.accuracy
+    g = (_pir(t, MATNR, "EFFPR", "_HAS_EINA", "EINA_LOEKZ").where(k.where).withColumnRenamed(MATNR, "GMID")
+         .groupBy(SS, "GMID").agg(*flag_presence(c == 1, c == 0, a == 1, a == 0)))
     df = expand_flag_pairs(g, accuracy_null=col("GMID").isNull() | ~(col("_a1") | col("_a0")))
     return result(df, SS, "GMID", "EFFPR", "COMPLETENESS", "ACCURACY", distinct=False)
 
@@ -128,36 +157,42 @@ def dq_loekz(t: Tables, as_of=None) -> DataFrame:
     return result(df, SS, INFNR, "deactivation flag", per_date(as_of, lambda d: c, "_on"), per_date(as_of, lambda d: a, "_on"))
 
 
+def meprf() -> PirCheck:
+    return PirCheck(ACTIVE() & prefix_scope(), first_match(is_blank("MEPRF")),
+                    first_match(is_blank("MEPRF"), ~F.trim(col("MEPRF")).isin("1", "2")))
+
+
 def dq_meprf(t: Tables, as_of=None) -> DataFrame:
     """R12 pricing date control: must be '1' or '2'."""
-    df = _active(_pir(t, MATNR, "MEPRF", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
-    c = first_match(is_blank("MEPRF"))
-    a = first_match(is_blank("MEPRF"), ~F.trim(col("MEPRF")).isin("1", "2"))
-    return result(df, SS, MATNR, "MEPRF", c, a)
+    return _checked(t, "MEPRF", meprf())
+
+
+def mhdrz() -> PirCheck:
+    m = col("MHDRZ")
+    return PirCheck(ACTIVE() & contains_scope(), first_match(m.isNull(), m == 0), first_match(m.isNull(), m < 0, m == 0, m > 3650))
 
 
 def dq_mhdrz_eine(t: Tables, as_of=None) -> DataFrame:
     """R13 minimum remaining shelf life: present, positive, at most 3650."""
-    df = _active(_pir(t, MATNR, "MHDRZ", "_HAS_EINA", "EINA_LOEKZ").where(contains_scope()))
-    m = col("MHDRZ")
-    c = first_match(m.isNull(), m == 0)
-    a = first_match(m.isNull(), m < 0, m == 0, m > 3650)
-    return result(df, SS, MATNR, "MHDRZ_EINE", c, a)
+    return _checked(t, "MHDRZ_EINE", mhdrz())
 
 
 def dq_minbm(t: Tables, as_of=None) -> DataFrame:
     """R14 minimum order quantity: a multiple of the plant's rounding value.
 
     EINA is matched on INFNR only, MARA and MARC on the material number
-    without system; each is reduced to the distinct values used.
+    without system; each is reduced to the distinct values used. MARA, which
+    only tells whether the material exists, is joined to EINA's pairs and not
+    to the longer EINE. MARC's rows of a material and plant (one for each
+    system) are brought together once, for DISTINCT and join. Rows without an
+    info record go past the join, those without a material or plant are spread.
     """
     eine = t.eine.select(SS, INFNR, "WERKS", "MINBM")
-    pir = t.eina.select(INFNR, MATNR).distinct()
-    mara = t.mara.select(MATNR).distinct().withColumn("GMID", col(MATNR))
-    marc = t.marc.select(MATNR, "WERKS", "BSTRF").distinct()
-    df = (eine.join(pir, INFNR, "left")
-          .join(mara, MATNR, "left")
-          .join(marc, [MATNR, "WERKS"], "left"))
+    mara = t.mara.where(col(MATNR).isNotNull()).select(MATNR).distinct().withColumn("GMID", col(MATNR))
+    pairs = spread_join(t.eina.where(col(INFNR).isNotNull()).select(INFNR, MATNR).distinct(), mara, [MATNR])
+    marc = (t.marc.where(col(MATNR).isNotNull() & col("WERKS").isNotNull())
+            .select(MATNR, "WERKS", "BSTRF").repartition(MATNR, "WERKS").distinct())
+    df = spread_join(left_join(eine, pairs, [INFNR]), marc, [MATNR, "WERKS"])
     q, r = col("MINBM"), col("BSTRF")
     c = first_match(q.isNull())
     a = ok_only_if(q.isNotNull() & (F.abs(q) < 100000000) & (F.round(q, 3) == q)
@@ -165,55 +200,91 @@ def dq_minbm(t: Tables, as_of=None) -> DataFrame:
     return result(df, SS, "GMID", "MINBM", c, a)
 
 
-def dq_netpr(t: Tables, as_of=None) -> DataFrame:
-    """R15 net price. The active test sits after an outer join, so PIRs
-    without general data stay (GMID NULL)."""
-    df = _pir(t, MATNR, "NETPR", "EINA_LOEKZ").where(prefix_scope() & col("EINA_LOEKZ").isNull())
+def netpr() -> PirCheck:
+    """The active test sits after an outer join, so PIRs without general data stay (GMID NULL)."""
     p = col("NETPR")
-    c = first_match(p.isNull())
-    a = F.when(p.isNull(), F.lit(0)).when(p == 0, F.lit(1)).otherwise(F.lit(0))
-    return result(df, SS, MATNR, "NETPR", c, a)
+    return PirCheck(prefix_scope() & col("EINA_LOEKZ").isNull(), first_match(p.isNull()), first_match(p == 0))
+
+
+def dq_netpr(t: Tables, as_of=None) -> DataFrame:
+    """R15 net price."""
+    return _checked(t, "NETPR", netpr())
+
+
+def peinh() -> PirCheck:
+    p, i = col("PEINH"), col(INFNR)
+    return PirCheck(prefix_scope(), first_match(p.isNull()), ok_only_if(i.isNotNull() & (F.trim(i) != "") & (p > 0)))
 
 
 def dq_peinh(t: Tables, as_of=None) -> DataFrame:
     """R17 price unit: positive on an existing PIR."""
-    df = _pir(t, MATNR, "PEINH").where(prefix_scope())
-    p, i = col("PEINH"), col(INFNR)
-    c = first_match(p.isNull())
-    a = ok_only_if(i.isNotNull() & (F.trim(i) != "") & (p > 0))
-    return result(df, SS, MATNR, "PEINH", c, a)
+    return _checked(t, "PEINH", peinh())
+
+
+def marc_days(t: Tables) -> DataFrame:
+    """Least and greatest goods-receipt time of a material over its plants (missing: 0)."""
+    w = F.coalesce(col("WEBAZ"), F.lit(0))
+    return t.marc.where(col(MATNR).isNotNull()).groupBy(SS, MATNR).agg(F.min(w).alias("_w0"), F.max(w).alias("_w1"))
+
+
+def prdat_flag(as_of, value: int):
+    """Accuracy ``value`` occurs among a material's dated prices at the as-of
+    date: its first price date (for 1; its last for 0) against as-of + 5 days +
+    the longest (shortest) goods-receipt time of its plants."""
+    day = lambda d, w: F.date_add(d, (F.lit(5) + F.coalesce(col(w), F.lit(0))).cast("int"))
+    if value:
+        return per_date(as_of, lambda d: col("_p0") <= day(d, "_w1"))
+    return per_date(as_of, lambda d: col("_p1") > day(d, "_w0"))
 
 
 def dq_prdat(t: Tables, as_of=None) -> DataFrame:
-    """R18 price valid until: later than as-of + 5 days + goods-receipt time."""
-    base = (_active(_pir(t, MATNR, "PRDAT", "_HAS_EINA", "EINA_LOEKZ").where(prefix_scope()))
-            .select(SS, MATNR, "PRDAT").distinct())
-    marc = t.marc.select(SS, MATNR, "WEBAZ").distinct()
-    df = base.join(marc, [MATNR, SS], "left")
-    p = col("PRDAT")
-    days = (F.lit(5) + F.coalesce(col("WEBAZ"), F.lit(0))).cast("int")
-    c = first_match(p.isNull())
-    a = per_date(as_of, lambda d: first_match(p.isNull(), p <= F.date_add(d, days)))
-    return result(df, SS, MATNR, "PRDAT", c, a)
+    """R18 price valid until: later than as-of + 5 days + goods-receipt time.
+
+    Each price date of a material is held against each of its plants. What can
+    come out is known from the first and last date and the shortest and longest
+    time, so both sides are one row per material before the join, and the join
+    needs no shuffle of its own."""
+    k = prdat()
+    base = (_pir(t, MATNR, "PRDAT", "_HAS_EINA", "EINA_LOEKZ").where(k.where).groupBy(SS, MATNR)
+            .agg(F.min("PRDAT").alias("_p0"), F.max("PRDAT").alias("_p1"), F.bool_or(col("PRDAT").isNull()).alias("_none")))
+    df = base.join(marc_days(t), [SS, MATNR], "left")
+    one, zero, many = prdat_flag(as_of, 1), prdat_flag(as_of, 0), isinstance(as_of, (list, tuple))
+    flag = lambda yes, no: F.transform(yes, lambda x: F.when(x, F.lit(1)).otherwise(F.lit(0))) if no is None else F.when(yes, 1).otherwise(0)
+    has1 = flag(one, None) if many else flag(one, 0)
+    has0 = F.transform(zero, lambda x: F.when(x, F.lit(0)).otherwise(F.lit(1))) if many else F.when(zero, 0).otherwise(1)
+    ones = per_date(as_of, lambda d: F.lit(1))
+    row = lambda c, a: F.struct(F.lit(c).alias("_C"), a.alias("_A"))
+    dated = col("_p0").isNotNull()
+    rows = F.array(F.when(col("_none"), row(1, ones)), F.when(dated, row(0, has1)), F.when(dated, row(0, has0)))
+    df = df.withColumn("_r", F.explode(F.array_distinct(F.array_compact(rows)))).select(SS, MATNR, "_r.*")
+    return result(df, SS, MATNR, "PRDAT", "_C", "_A", distinct=False)
+
+
+def prdat() -> PirCheck:
+    """Scope of the rule; its accuracy needs the plants (``dq_prdat``)."""
+    return PirCheck(ACTIVE() & prefix_scope(), first_match(col("PRDAT").isNull()), F.lit(None).cast("int"))
+
+
+def uebtk_checked(t: Tables) -> DataFrame:
+    """R19 up to the join with EINA: SS, INFNR and the flags, distinct."""
+    i = col(INFNR)
+    c = first_match(is_blank("UEBTK"))
+    a = ok_only_if(i.isNotNull() & (F.trim(i) != "") & (col("UEBTK") == "X"))
+    return t.eine.select(SS, INFNR, c.alias("_C"), a.alias("_A")).distinct()
 
 
 def dq_uebtk(t: Tables, as_of=None) -> DataFrame:
     """R19 unlimited overdelivery: KO unless set to 'X' on an existing PIR.
     (The reference also joins MARA without reading it; that join changes no
     row under DISTINCT and is left out.)"""
-    i = col(INFNR)
-    c = first_match(is_blank("UEBTK"))
-    a = ok_only_if(i.isNotNull() & (F.trim(i) != "") & (col("UEBTK") == "X"))
-    checked = t.eine.select(SS, INFNR, c.alias("_C"), a.alias("_A")).distinct()
-    df = checked.join(t.eina.select(INFNR, MATNR).distinct(), INFNR, "left")
-    return result(df, SS, MATNR, "UEBTK", "_C", "_A")
+    return result(material_of(t, uebtk_checked(t)), SS, MATNR, "UEBTK", "_C", "_A")
 
 
 def dq_uebto(t: Tables, as_of=None) -> DataFrame:
     """R20 overdelivery tolerance between 5 and 10 inclusive (bag)."""
     eine = t.eine.where(prefix_scope()).select(SS, INFNR, "UEBTO")
     eina = t.eina.where(active_pir() & prefix_scope()).select(SS, INFNR, MATNR)
-    df = eine.join(eina, [INFNR, SS], "left")
+    df = left_join(eine, eina, [INFNR, SS])
     u = col("UEBTO")
     c = first_match(u.isNull())
     a = first_match(u.isNull() | (u < 5) | (u > 10))
@@ -232,7 +303,7 @@ def untto_counts(t: Tables) -> DataFrame:
     eine = t.eine.where(prefix_scope()).groupBy(SS, INFNR, "UNTTO").agg(F.count("*").alias("_e"))
     act = (t.eina.where(active_pir() & prefix_scope())
            .groupBy(SS, INFNR, col(MATNR).alias("GMID")).agg(F.count("*").alias("_p")))
-    k = t.eina.where(active_pir() & prefix_scope()).groupBy(SS, INFNR).agg(F.count("*").alias("_k"))
+    k = act.groupBy(SS, INFNR).agg(F.sum("_p").alias("_k"))
     pairs = (eine.join(act, [INFNR, SS]).join(k, [INFNR, SS])
              .groupBy(SS, "GMID", "UNTTO").agg(F.sum(col("_e") * col("_p") * col("_k")).alias("_n")))
     marc = (t.marc.where(prefix_scope()).groupBy(SS, col(MATNR).alias("GMID"), col("UNETO").alias("_MM_UNETO"))
@@ -247,10 +318,5 @@ def untto_counts(t: Tables) -> DataFrame:
 
 
 def dq_untto(t: Tables, as_of=None) -> DataFrame:
-    """R23 underdelivery tolerance against the plant value (bag): the counted
-    rows, expanded in blocks of 1,024 so that no row holds a long array."""
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(_n - 1) div 1024")))
-    left = F.least(F.lit(1024), col("_n") - col("_block") * 1024).cast("int")
-    return (untto_counts(t).withColumn("_block", block)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), left)))
-            .drop("_n", "_block", "_copy"))
+    """R23 underdelivery tolerance against the plant value (bag): the counted rows, expanded."""
+    return expand_copies(untto_counts(t), "_n")

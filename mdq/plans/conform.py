@@ -3,9 +3,10 @@ flags with 1 = KO.
 
 ``conformed`` works on any suite frame (for example results read back from
 storage) by joining the catalog. ``conformed_suite`` builds the same rows
-rule by rule: each rule's result is aggregated by (system, material) right
-away, so Catalyst drops the rule's own DISTINCT under the MAX (one shuffle
-less per rule), and the catalog's polarity is applied as a constant.
+from the rules: those that read the same rows are aggregated together
+(``fused``); any other's result is aggregated by (system, material) right away,
+so Catalyst drops the rule's own DISTINCT under the MAX (one shuffle less per
+rule). The catalog's polarity is applied as a constant.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from mdq.plans.catalog import OK_IS_ONE, enabled_rules
+from mdq.plans.fused import conformed_rows
 
 KEY = ["SOURCE_SYSTEM", "GMID", "ATTRIBUTE"]
 
@@ -69,7 +71,8 @@ def conformed_rule_at(df: DataFrame, rule, dates) -> DataFrame:
 
 def conformed_suite(t, as_of=None, rules=None) -> DataFrame:
     rules = enabled_rules() if rules is None else rules
-    return reduce(DataFrame.unionByName, [conformed_rule(r.rows(t, as_of), r) for r in rules])
+    parts, rest = conformed_rows(t, as_of, rules)
+    return reduce(DataFrame.unionByName, parts + [conformed_rule(r.rows(t, as_of), r) for r in rest])
 
 
 def conformed_at_dates(t, dates, rules=None) -> DataFrame:

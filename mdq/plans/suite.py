@@ -7,11 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from mdq.plans.catalog import enabled_rules
+from mdq.plans.fused import suite_rows
 from mdq.sources.tables import Tables
 
 
 def run_suite(t: Tables, as_of=None, rules=None) -> DataFrame:
     """Union (bag) of the five-column results of ``rules`` (default: the
-    enabled ones)."""
+    enabled ones). Rules that read the same rows are evaluated together
+    (``fused``)."""
     rules = enabled_rules() if rules is None else rules
-    return reduce(DataFrame.unionByName, [r.fn(t, as_of) for r in rules])
+    parts, rest = suite_rows(t, as_of, rules)
+    return reduce(DataFrame.unionByName, parts + [r.fn(t, as_of) for r in rest])
