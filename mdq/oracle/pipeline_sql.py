@@ -75,6 +75,18 @@ SELECT CLASS, CRITICALITY, ATTRIBUTE, LEVEL, N_KEYS, COMPLETENESS_KO, ACCURACY_K
 FROM g"""
 
 
+def materials_sql(as_of: str) -> str:
+    material = "COALESCE(SOURCE_SYSTEM, '-') || CASE WHEN GMID IS NULL THEN '?' ELSE '=' || GMID END"
+    return f"""
+WITH conf AS ({conformed_sql(as_of)}),
+x AS (SELECT cat.class AS CLASS, cat.criticality AS CRITICALITY, conf.ATTRIBUTE, {material} AS m,
+             (COMPLETENESS = 1 OR COALESCE(ACCURACY, 0) = 1) AS ko
+      FROM conf JOIN ({CATALOG}) AS cat ON conf.ATTRIBUTE = cat.attribute)
+SELECT CLASS, CRITICALITY, ATTRIBUTE, CAST(GROUPING(CLASS, CRITICALITY, ATTRIBUTE) AS INTEGER) AS LEVEL,
+       COUNT(DISTINCT m) AS MATERIALS, COUNT(DISTINCT m) FILTER (WHERE ko) AS KO_MATERIALS
+FROM x GROUP BY GROUPING SETS ((CLASS, CRITICALITY, ATTRIBUTE), (CLASS), (CRITICALITY), ())"""
+
+
 def history_sql(dates=None) -> str:
     from mdq.plans.history import HISTORY_DATES
     dates = sorted(dates or HISTORY_DATES)

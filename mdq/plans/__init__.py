@@ -9,7 +9,7 @@ from mdq import AS_OF_DEFAULT
 def pipeline_queries():
     from mdq.plans.conform import conformed_suite
     from mdq.plans.history import history_query
-    from mdq.plans.scorecard import ko_listing_query, scorecard_query
+    from mdq.plans.scorecard import ko_listing_query, materials_query, scorecard_query
     from mdq.plans.suite import run_suite
     from mdq.sources.tables import Tables
 
@@ -24,16 +24,18 @@ def pipeline_queries():
         "dqm_conformed": dqm_conformed,
         "dqm_scorecard": scorecard_query,
         "dqm_ko_listing": ko_listing_query,
+        "dqm_materials": materials_query,
         "dqm_history": history_query,
     }
 
 
 def pipeline_oracle_sql():
-    from mdq.oracle.pipeline_sql import conformed_sql, history_sql, ko_listing_sql, scorecard_sql, suite_sql
+    from mdq.oracle.pipeline_sql import conformed_sql, history_sql, ko_listing_sql, materials_sql, scorecard_sql, suite_sql
     return {
         "dqm_suite": suite_sql(AS_OF_DEFAULT),
         "dqm_conformed": conformed_sql(AS_OF_DEFAULT),
         "dqm_scorecard": scorecard_sql(AS_OF_DEFAULT),
         "dqm_ko_listing": ko_listing_sql(AS_OF_DEFAULT),
+        "dqm_materials": materials_sql(AS_OF_DEFAULT),
         "dqm_history": history_sql(),
     }

@@ -1,12 +1,15 @@
 """X1: the rule catalog (one row per rule), from the rules' metadata files.
 
 People, ownership and sign-off fields of the metadata are left out. The
-catalog is fixed and tiny (31 rows); it is joined by broadcast.
+catalog is fixed and tiny (31 rows); it is joined by broadcast. Versions of it
+can be stored by the date from which they hold; scorecards of stored snapshots
+then use, for each snapshot, the version of its date.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mdq.operators import RULES
@@ -84,6 +87,26 @@ def catalog_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(catalog_rows(), CATALOG_SCHEMA)
 
 
+#: The first version of a dated catalog holds from here on.
+ALWAYS = "0001-01-01"
+
+
+def publish_catalog(catalog: DataFrame, root: str, valid_from: str = ALWAYS) -> None:
+    """Store ``catalog`` as the version that holds from ``valid_from`` on.
+    Earlier versions stay; publishing a date again replaces that version."""
+    catalog.write.mode("overwrite").parquet(f"{root.rstrip('/')}/VALID_FROM={valid_from}")
+
+
+def dated_catalog(spark: SparkSession, root: str) -> DataFrame:
+    """All versions of the catalog under ``root`` with VALID_FROM and VALID_TO
+    (the next version's date, NULL for the last). A version is the whole
+    catalog: an attribute that it lacks is not catalogued while it holds."""
+    rows = spark.read.schema(T.StructType([*CATALOG_SCHEMA.fields, T.StructField("VALID_FROM", T.DateType())])).parquet(root)
+    dates = rows.select("VALID_FROM").distinct()
+    ends = dates.select("VALID_FROM", F.lead("VALID_FROM").over(Window.orderBy("VALID_FROM")).alias("VALID_TO"))   # a row per version
+    return rows.join(F.broadcast(ends), "VALID_FROM").select(*CATALOG_SCHEMA.names, "VALID_FROM", "VALID_TO")
+
+
 def enabled_rules():
     on = {m[0] for m in _METADATA if m[8]}
     return [r for r in RULES.values() if r.attribute in on]

@@ -166,18 +166,25 @@ def append_history(snapshot: DataFrame, root: str, as_of: str, new_history: bool
 
 
 def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None, new_history: bool = False,
-              late: bool = False) -> DataFrame:
+              late: bool = False, reports: str | None = None) -> DataFrame:
     """One scheduled run: conformed suite -> dated snapshot -> history (the
     snapshot appended to the earlier runs', or spliced in if it is ``late``) ->
     scorecard.
 
-    The suite reads tables and shared views that are written once for the run."""
+    The suite reads tables and shared views that are written once for the run.
+    Under ``reports`` the run leaves, for its date, how many values of each
+    source column could not be read (``sources``), these values
+    (``quarantine``), and the sketches of the materials (``materials``)."""
     from mdq.plans.catalog import catalog_df
-    from mdq.plans.scorecard import scorecard
+    from mdq.plans.scorecard import material_sketches, scorecard
 
     spark = t.spark
-    write_snapshot(conformed_suite(t.materialize(), as_of), snapshot_root, as_of)
+    t = t.materialize()
+    write_snapshot(conformed_suite(t, as_of), snapshot_root, as_of)
     snap = spark.read.parquet(f"{snapshot_root.rstrip('/')}/SNAPSHOT_DATE={as_of}")
     if history_root:
         append_history(snap, history_root, as_of, new_history, late)
+    if reports:
+        for name, df in (("sources", t.source_report()), ("quarantine", t.quarantined()), ("materials", material_sketches(snap, catalog_df(spark)))):
+            df.write.mode("overwrite").parquet(f"{reports.rstrip('/')}/{name}/AS_OF={as_of}")
     return scorecard(snap, catalog_df(spark))

@@ -21,20 +21,36 @@ def _rate(ko: str, n: str):
                   ).cast("decimal(9,4)")
 
 
-def _catalog(catalog: DataFrame) -> DataFrame:
-    """The fixed 31-row catalog, as the joins below read it."""
-    return F.broadcast(catalog.select(col("attribute").alias("ATTRIBUTE"), col("class").alias("CLASS"),
-                                      col("criticality").alias("CRITICALITY"),
-                                      F.round(col("criticality_number") * 1000).cast("bigint").alias("_w")))
+def with_catalog(conf: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``conf`` with CLASS, CRITICALITY and weight from the catalog (31 rows, or
+    31 for each version, broadcast). A dated catalog (VALID_FROM, VALID_TO) is
+    joined as of SNAPSHOT_DATE, so a later version changes no earlier rate;
+    without SNAPSHOT_DATE its last version counts."""
+    cat = catalog.select(col("attribute").alias("ATTRIBUTE"), col("class").alias("CLASS"), col("criticality").alias("CRITICALITY"),
+                         F.round(col("criticality_number") * 1000).cast("bigint").alias("_w"),
+                         *[col(c).alias(f"_{c}") for c in ("VALID_FROM", "VALID_TO") if c in catalog.columns])
+    if "_VALID_FROM" not in cat.columns:
+        return conf.join(F.broadcast(cat), "ATTRIBUTE")
+    if "SNAPSHOT_DATE" not in conf.columns:
+        return conf.join(F.broadcast(cat.where("_VALID_TO IS NULL").drop("_VALID_FROM", "_VALID_TO")), "ATTRIBUTE")
+    c = F.broadcast(cat.withColumnRenamed("ATTRIBUTE", "_ATTRIBUTE"))
+    held = (col("_VALID_FROM") <= col("SNAPSHOT_DATE")) & (col("_VALID_TO").isNull() | (col("SNAPSHOT_DATE") < col("_VALID_TO")))
+    return conf.join(c, (col("ATTRIBUTE") == col("_ATTRIBUTE")) & held).drop("_ATTRIBUTE", "_VALID_FROM", "_VALID_TO")
+
+
+#: The report's levels: each attribute, class, criticality, and everything.
+def _levels(by: list) -> tuple[list, list]:
+    c, k, a = col("CLASS"), col("CRITICALITY"), col("ATTRIBUTE")
+    return [[*by, c, k, a], [*by, c], [*by, k], by], [*by, c, k, a]
 
 
 def scorecard(conf: DataFrame, catalog: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """One row per attribute (LEVEL 0), per class (3), per criticality (5) and
     in all (7); ``by`` adds columns of ``conf`` to every level."""
-    x = conf.join(_catalog(catalog), "ATTRIBUTE")
+    x = with_catalog(conf, catalog)
     ko_any = F.greatest(col("COMPLETENESS"), F.coalesce(col("ACCURACY"), F.lit(0)))
-    b, c, k, a = [col(n) for n in by], col("CLASS"), col("CRITICALITY"), col("ATTRIBUTE")
-    g = (x.groupingSets([[*b, c, k, a], [*b, c], [*b, k], b], *b, c, k, a)
+    sets, names = _levels([col(n) for n in by])
+    g = (x.groupingSets(sets, *names)
          .agg(F.grouping_id().cast("int").alias("LEVEL"),
               F.count(F.lit(1)).alias("N_KEYS"),
               F.sum("COMPLETENESS").cast("bigint").alias("COMPLETENESS_KO"),
@@ -51,13 +67,61 @@ def scorecard(conf: DataFrame, catalog: DataFrame, by: tuple[str, ...] = ()) ->
 
 
 def scorecard_over_time(snapshots: DataFrame, catalog: DataFrame) -> DataFrame:
-    """The scorecard of every stored snapshot, with SNAPSHOT_DATE."""
+    """The scorecard of every stored snapshot, with SNAPSHOT_DATE; with a dated
+    catalog each by the version of its date."""
     return scorecard(snapshots, catalog, by=("SNAPSHOT_DATE",))
 
 
+# -- materials ---------------------------------------------------------------
+#: log2 of the registers of a sketch: relative standard error 1.04 / sqrt(2^14), 0.8 %.
+LG_K = 14
+
+
+def _materials(conf: DataFrame, catalog: DataFrame) -> DataFrame:
+    ko = F.greatest(col("COMPLETENESS"), F.coalesce(col("ACCURACY"), F.lit(0))) == 1
+    return with_catalog(conf, catalog).withColumn("_ko", ko).withColumn("_m", F.struct("SOURCE_SYSTEM", "GMID"))
+
+
+def materials(conf: DataFrame, catalog: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """How many different materials (system and number; the NULL number is one)
+    each level of the report covers, and how many have a KO there. A material
+    counts once in a class, however many of its attributes it fails; key counts
+    cannot be added up to that.
+
+    Each level's materials are made distinct before they are counted, so no
+    task holds a set; the input is read once for all levels."""
+    sets, names = _levels([col(n) for n in by])
+    each = (_materials(conf, catalog).groupingSets([[*s, col("_m")] for s in sets], *names, col("_m"))
+            .agg(F.bool_or("_ko").alias("_ko"), F.shiftright(F.grouping_id(), 1).cast("int").alias("LEVEL")))
+    return (each.groupBy(*by, "CLASS", "CRITICALITY", "ATTRIBUTE", "LEVEL")
+            .agg(F.count(F.lit(1)).alias("MATERIALS"), F.count_if("_ko").alias("KO_MATERIALS")))
+
+
+def material_sketches(conf: DataFrame, catalog: DataFrame, by: tuple[str, ...] = (), lg_k: int = LG_K) -> DataFrame:
+    """One row per attribute with two mergeable sketches, of all its materials
+    and of those with a KO. Kept for each run, they answer for any class, level
+    or span of dates without the snapshots (``materials_of_sketches``)."""
+    x = _materials(conf, catalog).withColumn("_id", F.xxhash64(F.isnull("GMID"), "SOURCE_SYSTEM", "GMID"))
+    return (x.groupBy(*by, "CLASS", "CRITICALITY", "ATTRIBUTE")
+            .agg(F.hll_sketch_agg("_id", lg_k).alias("ALL_SKETCH"), F.hll_sketch_agg(F.when(col("_ko"), col("_id")), lg_k).alias("KO_SKETCH")))
+
+
+def materials_of_sketches(sketches: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The counts of ``materials``, estimated by merging sketches; rows of other
+    columns than ``by`` (say, of several dates) are merged into one."""
+    sets, names = _levels([col(n) for n in by])
+    size = lambda c: F.hll_sketch_estimate(F.hll_union_agg(c))
+    return (sketches.groupingSets(sets, *names)
+            .agg(F.grouping_id().cast("int").alias("LEVEL"), size("ALL_SKETCH").alias("MATERIALS"), size("KO_SKETCH").alias("KO_MATERIALS")))
+
+
+def materials_query(spark: SparkSession, sf_dir: str, as_of: str = AS_OF_DEFAULT) -> DataFrame:
+    return materials(conformed_suite(Tables.from_tpch(spark, sf_dir), as_of), catalog_df(spark))
+
+
 def ko_listing(conf: DataFrame, catalog: DataFrame) -> DataFrame:
     """The keys that fail completeness or accuracy, for inspection."""
-    return (conf.where((col("COMPLETENESS") == 1) | (col("ACCURACY") == 1)).join(_catalog(catalog), "ATTRIBUTE")
+    return (with_catalog(conf.where((col("COMPLETENESS") == 1) | (col("ACCURACY") == 1)), catalog)
             .select("CLASS", "CRITICALITY", "ATTRIBUTE", "SOURCE_SYSTEM", "GMID", "COMPLETENESS", "ACCURACY"))
 
 

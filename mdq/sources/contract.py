@@ -2,14 +2,15 @@
 
 A reader may find a column under another name (its own mapping, or one of
 ``OTHER_NAMES``) or as text. Text is read as the contract's type: blank text,
-and text that is no such value, becomes NULL, which the rules count as missing.
+and text that is no such value, becomes NULL, which the rules count as missing;
+values lost in this way are counted and kept aside (``quarantine``).
 Numbers of another precision are left as they are. Columns beyond the contract
 are dropped; a missing one is an error that names it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,10 +50,9 @@ def _kind(t: T.DataType) -> type:
     return T.NumericType if isinstance(t, T.NumericType) else T.DateType if isinstance(t, T.TimestampType) else type(t)
 
 
-def apply(df: DataFrame, name: str, mapping: dict[str, str] | None = None) -> DataFrame:
-    """``df`` with the contract's columns; names match regardless of case."""
-    if name not in COLUMNS:
-        return df                                   # a derived view
+def _resolved(df: DataFrame, name: str, mapping: dict[str, str] | None):
+    """(wanted field, column as it comes, column as the contract has it, whether
+    it had to be read from another type) of each column of the contract."""
     have = {f.name.upper(): f for f in df.schema.fields}
     other = {**OTHER_NAMES.get(name, {}), **(mapping or {})}
     out, missing = [], []
@@ -62,16 +62,54 @@ def apply(df: DataFrame, name: str, mapping: dict[str, str] | None = None) -> Da
         if f is None:
             missing.append(want.name)
             continue
-        c = F.col(f"`{f.name}`")
+        raw = c = F.col(f"`{f.name}`")
+        read = False
         if _kind(f.dataType) is not _kind(want.dataType):
             if not isinstance(want.dataType, T.StringType):
                 text = F.trim(c.cast("string"))
                 c = F.when(text != "", text).try_cast(want.dataType)
+                read = True
             else:
                 c = c.cast("string")
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("date")
-        out.append(c.alias(want.name))
+        out.append((want, raw, c, read))
     if missing:
         raise ValueError(f"source {name!r} lacks {', '.join(missing)}; it has {', '.join(df.columns)}")
-    return df.select(*out)
+    return out
+
+
+def _unreadable(raw, read):
+    """There is text, and it is no value of the contract's type."""
+    return (F.trim(raw.cast("string")) != "") & read.isNull()
+
+
+def apply(df: DataFrame, name: str, mapping: dict[str, str] | None = None, observation: Observation | None = None) -> DataFrame:
+    """``df`` with the contract's columns; names match regardless of case.
+
+    ``observation`` counts the rows (``rows``) and, for each column read from
+    another type, the values that could not be read, while some action runs over
+    the result; it costs no pass of its own. ``quarantine`` gives the values."""
+    if name not in COLUMNS:
+        return df                                   # a derived view
+    found = _resolved(df, name, mapping)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"),
+                        *[F.count_if(_unreadable(raw, c)).alias(w.name) for w, raw, c, read in found if read])
+    return df.select(*[c.alias(w.name) for w, _, c, _ in found])
+
+
+def quarantine(df: DataFrame, name: str, mapping: dict[str, str] | None = None) -> DataFrame:
+    """The unreadable values of a source: SOURCE, COLUMN_NAME, VALUE (the text
+    as it came), REASON, and ROW_KEY, a map of the row's text columns of the
+    contract by which the row can be found. The rules see NULL in their place."""
+    schema = "SOURCE string, COLUMN_NAME string, VALUE string, REASON string, ROW_KEY map<string,string>"
+    found = _resolved(df, name, mapping) if name in COLUMNS else []
+    cells = [F.when(_unreadable(raw, c), F.struct(F.lit(w.name).alias("COLUMN_NAME"), raw.cast("string").alias("VALUE"),
+                                                  F.lit(f"not a {w.dataType.simpleString()}").alias("REASON"))) for w, raw, c, read in found if read]
+    if not cells:
+        return df.sparkSession.createDataFrame([], schema)
+    key = F.map_from_arrays(F.array(*[F.lit(w.name) for w, _, _, _ in found if isinstance(w.dataType, T.StringType)]),
+                            F.array(*[c for w, _, c, _ in found if isinstance(w.dataType, T.StringType)]))
+    return (df.select(key.alias("ROW_KEY"), F.explode(F.array_compact(F.array(*cells))).alias("r"))
+            .select(F.lit(name).alias("SOURCE"), "r.*", "ROW_KEY"))
