@@ -40,6 +40,19 @@ def write_file(uri: str, parts) -> None:
     fs.move(tmp, path)
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_prefix(columns, base: str) -> str:
+    """A prefix that no column of the input has, for an operator's own columns."""
+    p = f"{base}__"
+    while any(c.lower().startswith(p) for c in columns):
+        p = f"_{p}"
+    return p
+
+
 def crc_mod(col: str, n: int):
     """crc32 of the id as text, modulo n (null ids: 0)."""
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % n, F.lit(0))
