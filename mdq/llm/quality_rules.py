@@ -25,15 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
-from mdq.llm.common import read_table, write_shared
+from mdq.llm.common import quoted, read_table, write_shared
 
 SYMBOLS = "#*$%&|<>"
 SENTENCE = ".,;:!?'\"()-"
 N_COMMON = 60
+N_CANDIDATES = 400       # of each language, the words among which the common ones are
 WINDOW = 8
 MAX_WORD = 40            # bytes; a longer word is never a common one
-COPY_BITS = 24           # slots of the map of texts that occur more than once
 TEXT = ["lang", "h1", "h2"]
 CLASSES = ["small", "capital", "other letter", "digit", "space", "sentence", "symbol", "other"]
 
@@ -41,15 +42,20 @@ CLASSES = ["small", "capital", "other letter", "digit", "space", "sentence", "sy
 @dataclass(frozen=True)
 class Limits:
     """Documents with a histogram of at least ``min_chars`` characters (or
-    ``min_words`` words) are compared; ``max_class`` and ``max_word`` + ``slack``
-    / sqrt(words) are the largest distances kept: the distance of a sample from
-    its own distribution falls with the square root of its size. Base rules: fewer than ``base_words`` words, or more
-    than ``base_repeat`` percent of words in repeated windows, fail."""
+    ``min_words`` words) are compared. ``max_class`` is the largest class
+    distance kept. Of a word distance ``slack`` / sqrt(words) is put down to
+    chance: the distance of a sample from its own distribution falls with the
+    square root of its size; the rest may be as large as ``word_limits`` finds
+    for the language (``spread``, ``min_texts``, at most ``max_word``). Base
+    rules: fewer than ``base_words`` words, or more than ``base_repeat`` percent
+    of words in repeated windows, fail."""
     min_chars: int = 250
     min_words: int = 30
     max_class: float = 0.30
     max_word: float = 0.30
     slack: float = 1.2
+    spread: float = 1.5
+    min_texts: int = 30
     base_words: int = 20
     base_repeat: int = 30
 
@@ -111,18 +117,18 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(edge) > 0).sum())
 
 
-def measure(text: str, common: dict[bytes, int]) -> tuple:
+def measure(text: str, known: dict[bytes, int]) -> tuple:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class
-    counts, common word numbers, their counts, plain words) of a text."""
+    counts, numbers and counts of the words in ``known``, plain words) of a text."""
     raw = text.encode()
     words = raw.split()
     by_class = class_counts(text)
     lines = [x for x in raw.split(b"\n") if x.strip()]
     plain = raw.translate(_PLAIN).split()
-    known = Counter(map(common.get, plain)) if common else Counter()
-    known.pop(None, None)
+    found = Counter(map(known.get, plain)) if known else Counter()
+    found.pop(None, None)
     return (len(words), int(by_class.sum() - by_class[4]), int(by_class[6]), len(lines) - len(set(lines)),
-            repeated_words(words), by_class.tolist(), list(known.keys()), list(known.values()), len(plain))
+            repeated_words(words), by_class, np.array([*found.items()], "<u4").reshape(-1, 2), len(plain))
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -135,179 +141,217 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((kl(p) + kl(q)) / 2, 0, 1))
 
 
-def copied_slots(rows: DataFrame) -> np.ndarray:
-    """A bit for each of ``1 << COPY_BITS`` slots of the text hash: set where a
-    text of the slot occurs more than once in its language. Texts of other
-    slots are distinct, and need no shuffle to count once."""
-    slot = F.col("h1").bitwiseAND(F.lit((1 << COPY_BITS) - 1))
-    twice = rows.groupBy(*TEXT).agg(F.count("*").alias("n")).filter("n > 1").select(slot.alias("s"))
-    got = (twice.groupBy(F.shiftright("s", 15).alias("b"))
-           .agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).collect())
-    out = np.zeros((1 << COPY_BITS - 15, 1 << 12), np.uint8)
-    for r in got:                                             # at most 512 rows of 4 KB
-        out[r["b"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out.reshape(-1)
-
-
-def _copied(h1: pa.Array, slots: np.ndarray) -> np.ndarray:
-    s = h1.to_numpy(zero_copy_only=False) & ((1 << COPY_BITS) - 1)
-    return (slots[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def common_words(rows: DataFrame, slots: np.ndarray, limits: Limits, n: int = N_COMMON) -> dict[str, dict[bytes, int]]:
-    """For each language its ``n`` words that occur in most of its distinct
-    texts that pass the base rules (ties by the word), numbered. Only texts in
-    ``slots`` are shuffled, one of each from a task. Tasks add up their words
-    before the shuffle and hand counts on when they hold 300,000 words."""
-    def passes(text):
-        words = text.encode().split()
-        return len(words) >= limits.base_words and 100 * repeated_words(words) <= limits.base_repeat * len(words)
-
-    def single(batches):
-        for b in batches:
-            yield b.filter(pa.array(~_copied(b.column("h1"), slots)))
-
-    def copies(batches):
-        seen: set = set()
-        for b in batches:
-            b = b.filter(pa.array(_copied(b.column("h1"), slots)))
-            new = []
-            for key in zip(*(b.column(c).to_pylist() for c in TEXT)):
-                new.append(key not in seen)
-                seen.add(key)
-            if len(seen) > 200_000:
-                seen.clear()
-            yield b.filter(pa.array(new, pa.bool_()))
-
+# -- what the corpus has in common ------------------------------------------
+def candidate_words(rows: DataFrame, n: int = N_CANDIDATES) -> dict[str, dict[bytes, int]]:
+    """For each language the ``n`` words that occur in most texts (ties by the
+    word), numbered: among them are the common words. A text that a task meets
+    again is passed over, so a group of copies adds at most one for each task.
+    Tasks add up their words before the shuffle and hand counts on when they
+    hold 300,000 words."""
     def add_up(batches):
-        held: dict = {}
+        held, seen = {}, set()
 
         def emit():
-            rows = [(lang, w, k) for lang, c in held.items() for w, k in c.items()]
+            out = [(lang, w, k) for lang, c in held.items() for w, k in c.items()]
             held.clear()
-            for lo in range(0, len(rows), 50_000):
-                lang, w, k = zip(*rows[lo:lo + 50_000])
-                yield pa.record_batch([pa.array(lang, pa.string()), pa.array(w, pa.binary()), pa.array(k, pa.int64())],
-                                      ["lang", "word", "n"])
+            for lo in range(0, len(out), 50_000):
+                lang, w, k = zip(*out[lo:lo + 50_000])
+                yield pa.record_batch([pa.array(lang, pa.string()), pa.array(w, pa.binary()), pa.array(k, pa.int64())], ["lang", "word", "n"])
         for b in batches:
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                if not passes(text):
+            for lang, h, text in zip(*(b.column(c).to_pylist() for c in ("lang", "h1", "text"))):
+                if (lang, h) in seen:
                     continue
+                if len(seen) > 200_000:
+                    seen.clear()
+                seen.add((lang, h))
                 held.setdefault(lang, Counter()).update(set(text.encode().translate(_PLAIN).split()))
                 if sum(map(len, held.values())) > 300_000:
                     yield from emit()
         yield from emit()
 
     by = W.partitionBy("lang").orderBy(F.desc("n"), "word")
-    rows, counted = rows.select(*TEXT, "text"), "lang string, word binary, n bigint"
-    of_copies = rows.mapInArrow(copies, rows.schema).dropDuplicates(TEXT).mapInArrow(add_up, counted)
-    top = (rows.mapInArrow(lambda batches: add_up(single(batches)), counted).unionByName(of_copies)
-           .filter(F.length("word") <= MAX_WORD)
-           .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-           .withColumn("k", F.row_number().over(by)).filter(F.col("k") <= n))
+    top = (rows.select("lang", "h1", "text").mapInArrow(add_up, "lang string, word binary, n bigint").filter(F.length("word") <= MAX_WORD)
+           .groupBy("lang", "word").agg(F.sum("n").alias("n")).withColumn("k", F.row_number().over(by)).filter(F.col("k") <= n))
     out: dict[str, dict[bytes, int]] = {}
     for r in top.collect():                                   # n rows of each language
         out.setdefault(r["lang"], {})[bytes(r["word"])] = r["k"] - 1
     return out
 
 
-MEASURES = ("doc_id bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-            "n_repeat_words bigint, classes array<bigint>, words array<int>, counts array<bigint>, n_plain bigint")
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURES = ", ".join(f"{c} bigint" for c in COUNTS) + ", n_plain bigint, classes binary, words binary"
 
 
-def measure_batch(b: pa.RecordBatch, common: dict[str, dict[bytes, int]]) -> pa.RecordBatch:
-    """doc_id, lang and measures of a batch of (doc_id, lang, text)."""
-    d, lang, text = (c.to_pylist() for c in b.columns)
-    got = [measure(t, common.get(x, {})) for x, t in zip(lang, text)]
-    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64()]
-    cols = list(zip(*got)) or [()] * len(kinds)
-    return pa.record_batch([pa.array(d, pa.int64()), pa.array(lang, pa.string()), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+def measure_batch(lang: list[str], text: list[str], words: dict[str, dict[bytes, int]]) -> pa.RecordBatch:
+    """The columns of MEASURES: classes and words hold 32-bit numbers, a count
+    for each class, and number and count of each word that occurs."""
+    got = [measure(t, words.get(x, {})) for x, t in zip(lang, text)]
+    cols = list(zip(*got)) or [()] * 8
+    raw = lambda c, kind: pa.array([x.astype(kind).tobytes() for x in c], pa.binary())
+    return pa.record_batch([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[7], pa.int64()), raw(cols[5], "<u4"), raw(cols[6], "<u4")],
                            [x.split(" ")[0] for x in MEASURES.split(", ")])
 
 
-def measures(rows: DataFrame, common: dict[str, dict[bytes, int]], slots: np.ndarray) -> DataFrame:
-    """Measures of each row, with its text's hash and whether it may have copies."""
+def measures(rows: DataFrame, words: dict[str, dict[bytes, int]], names: list[str]) -> DataFrame:
+    """The measures of each row, beside its columns ``names``, written once: no
+    text is split a second time."""
     def run(batches):
         for b in batches:
-            m = measure_batch(b.select(["doc_id", "lang", "text"]), common)
-            for c in ("h1", "h2"):
-                m = m.append_column(c, b.column(c))
-            yield m.append_column("copied", pa.array(_copied(b.column("h1"), slots)))
-    return rows.select("doc_id", "lang", "text", "h1", "h2").mapInArrow(run, MEASURES + ", h1 bigint, h2 bigint, copied boolean")
+            m = measure_batch(b.column("lang").to_pylist(), b.column("text").to_pylist(), words)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *m.columns], names=names + m.schema.names)
+    rows = rows.select(*names, "text")
+    schema = T.StructType([rows.schema[n] for n in names] + T.StructType.fromDDL(MEASURES).fields)
+    return write_shared(rows.mapInArrow(run, schema), "rules-measures")
 
 
-def references(m: DataFrame, limits: Limits, n: int = N_COMMON) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """For each language the mean class histogram and the mean histogram of its
-    common words (the last bin: all others) over its distinct texts that are
-    long enough and pass the base rules."""
-    long = m.filter((F.col("n_words") >= limits.min_words) & (F.col("n_plain") > 0) & (F.col("n_words") >= limits.base_words)
-                    & (100 * F.col("n_repeat_words") <= limits.base_repeat * F.col("n_words")))
-    long = long.select(*TEXT, "n_plain", "classes", "words", "counts", "copied")
-    long = long.filter("not copied").unionByName(long.filter("copied").dropDuplicates(TEXT))
-    total = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    cls = (long.select("lang", total.alias("t"), F.posexplode("classes").alias("k", "x"))
-           .groupBy("lang", "k").agg(F.avg(F.col("x") / F.col("t")).alias("v")).collect())
-    docs = {r["lang"]: r["n"] for r in long.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    wrd = (long.select("lang", "n_plain", F.explode(F.arrays_zip("words", "counts")).alias("z"))
-           .groupBy("lang", F.col("z.words").alias("k")).agg(F.sum(F.col("z.counts") / F.col("n_plain")).alias("v")).collect())
-    out = {lang: (np.zeros(len(CLASSES)), np.zeros(n + 1)) for lang in docs}
-    for r in cls:
-        out[r["lang"]][0][r["k"]] = r["v"]
-    for r in wrd:
-        out[r["lang"]][1][r["k"]] = r["v"] / docs[r["lang"]]
-    for _, w in out.values():
-        w[n] = max(0.0, 1.0 - w[:n].sum())
-    return out
-
+def distinct_texts(m: DataFrame, limits: Limits) -> DataFrame:
+    """The measures of each distinct text that passes the base rules, once. Texts
+    are told apart by two hashes; measures move, never texts."""
+    passed = m.filter((F.col("n_words") >= limits.base_words) & (100 * F.col("n_repeat_words") <= limits.base_repeat * F.col("n_words")))
+    return write_shared(passed.select(*TEXT, "n_words", "n_plain", "classes", "words").dropDuplicates(TEXT).drop("h1", "h2"), "rules-texts")
 
-VERDICTS = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-            "base_failed boolean, kept boolean, class_distance double, word_distance double")
 
-
-def judge_batch(b: pa.RecordBatch, refs: dict, limits: Limits, n: int = N_COMMON) -> pa.RecordBatch:
-    """Verdicts on a batch of measures."""
-    c = {f: b.column(i) for i, f in enumerate(b.schema.names)}
-    lang, size = c["lang"].to_pylist(), b.num_rows
-    n_words, n_repeat, n_plain = (c[x].to_numpy() for x in ("n_words", "n_repeat_words", "n_plain"))
-    cls = np.array(c["classes"].to_pylist(), np.float64).reshape(size, len(CLASSES))
-    wrd = np.zeros((size, n + 1))
-    for i, (k, x) in enumerate(zip(c["words"].to_pylist(), c["counts"].to_pylist())):
-        wrd[i, k] = x
-    wrd[:, n] = n_plain - wrd.sum(1)
-    chars = cls.sum(1)
+def common_words(texts: DataFrame, words: dict[str, dict[bytes, int]], n: int = N_COMMON) -> dict[str, np.ndarray]:
+    """For each language the bin of each candidate: the ``n`` words that occur
+    in most of the distinct texts (ties by the word) have bins 0, 1, ...; any
+    other has bin n. The driver gets a count for each candidate."""
+    def add_up(batches):
+        held: dict = {}
+        for b in batches:
+            for lang, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                np.add.at(held.setdefault(lang, np.zeros(N_CANDIDATES, np.int64)), np.frombuffer(raw, "<u4")[::2], 1)
+        for lang, c in held.items():
+            yield pa.record_batch([pa.array([lang] * len(c)), pa.array(np.arange(len(c), dtype=np.int32)), pa.array(c)], ["lang", "k", "n"])
+
+    found = texts.select("lang", "words").mapInArrow(add_up, "lang string, k int, n bigint").groupBy("lang", "k").agg(F.sum("n").alias("n"))
+    counts = {(r["lang"], r["k"]): r["n"] for r in found.filter("n > 0").collect()}
+    bins = {}
+    for lang, own in words.items():
+        best = sorted((-counts[lang, k], w, k) for w, k in own.items() if (lang, k) in counts)[:n]
+        bins[lang] = np.full(N_CANDIDATES, n)
+        bins[lang][[k for _, _, k in best]] = np.arange(len(best))
+    return bins
+
+
+def histograms(classes: list[bytes], words: list[bytes], n_plain: np.ndarray, lang: list[str], bins: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Class counts and counts of the common words (last bin: all others) of a batch."""
+    n = len(lang)
+    cls = np.frombuffer(b"".join(classes), "<u4").reshape(n, len(CLASSES)).astype(np.float64)
+    wrd = np.zeros((n, N_COMMON + 1))
+    for i, raw in enumerate(words):
+        x = np.frombuffer(raw, "<u4")
+        if len(x):
+            np.add.at(wrd[i], bins[lang[i]][x[::2]], x[1::2])
+    wrd[:, N_COMMON] = n_plain - wrd[:, :N_COMMON].sum(1)
+    return cls, wrd
+
+
+def _columns(b: pa.RecordBatch) -> tuple:
+    return (b.column("classes").to_pylist(), b.column("words").to_pylist(), b.column("n_plain").to_numpy(), b.column("lang").to_pylist())
+
+
+def references(texts: DataFrame, bins: dict[str, np.ndarray], limits: Limits) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each language the mean class histogram and the mean histogram of its
+    common words over its distinct texts that are long enough. Tasks add up;
+    the driver gets a number for each language and bin."""
+    def add_up(batches):
+        held: dict = {}
+        for b in batches:
+            cls, wrd = histograms(*_columns(b), bins)
+            both = np.concatenate([cls / np.maximum(cls.sum(1), 1)[:, None], wrd / b.column("n_plain").to_numpy()[:, None], np.ones((len(cls), 1))], 1)
+            for lang in set(lang_of := b.column("lang").to_pylist()):
+                held[lang] = held.get(lang, 0) + both[np.array([x == lang for x in lang_of])].sum(0)
+        for lang, v in held.items():
+            yield pa.record_batch([pa.array([lang] * len(v)), pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v)], ["lang", "k", "v"])
+
+    long = texts.filter((F.col("n_words") >= limits.min_words) & (F.col("n_plain") > 0))
+    sums: dict = {}
+    for r in long.mapInArrow(add_up, "lang string, k int, v double").groupBy("lang", "k").agg(F.sum("v").alias("v")).collect():
+        sums.setdefault(r["lang"], np.zeros(len(CLASSES) + N_COMMON + 2))[r["k"]] = r["v"]
+    return {lang: (v[:len(CLASSES)] / v[-1], v[len(CLASSES):-1] / v[-1]) for lang, v in sums.items()}
+
+
+# -- distances and limits ----------------------------------------------------
+def distances(b: pa.RecordBatch, bins: dict, refs: dict, limits: Limits) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distance of classes and of words, and whether each may be compared."""
+    cls, wrd = histograms(*_columns(b), bins)
+    lang, n_plain = b.column("lang").to_pylist(), b.column("n_plain").to_numpy()
     has = np.array([x in refs for x in lang], bool)
-    nothing = (np.zeros(len(CLASSES)), np.zeros(n + 1))
+    nothing = (np.zeros(len(CLASSES)), np.zeros(N_COMMON + 1))
     both = [refs.get(x, nothing) for x in lang]
-    qc = np.array([x[0] for x in both]).reshape(size, len(CLASSES))
-    qw = np.array([x[1] for x in both]).reshape(size, n + 1)
+    qc = np.array([x[0] for x in both]).reshape(len(lang), len(CLASSES))
+    qw = np.array([x[1] for x in both]).reshape(len(lang), N_COMMON + 1)
+    chars = cls.sum(1)
     dc = js_distance(cls / np.maximum(chars, 1)[:, None], qc)
     dw = js_distance(wrd / np.maximum(n_plain, 1)[:, None], qw)
-    use_c = has & (chars >= limits.min_chars)
-    use_w = has & (n_words >= limits.min_words)
-    failed = (n_words < limits.base_words) | (100 * n_repeat > limits.base_repeat * n_words)
-    kept = ~failed & ~(use_c & (dc > limits.max_class)) & ~(use_w & (dw > limits.max_word + limits.slack / np.sqrt(np.maximum(n_words, 1))))
-    return pa.record_batch([c[x] for x in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-                           + [pa.array(failed), pa.array(kept), pa.array(dc, mask=~use_c), pa.array(dw, mask=~use_w)],
-                           [x.split(" ")[0] for x in VERDICTS.split(", ")])
+    return dc, dw, has & (chars >= limits.min_chars), has & (b.column("n_words").to_numpy() >= limits.min_words)
 
 
-def verdicts(m: DataFrame, refs: dict, limits: Limits) -> DataFrame:
-    return m.mapInArrow(lambda batches: (judge_batch(b, refs, limits) for b in batches), VERDICTS)
+def excess(dw: np.ndarray, n_words: np.ndarray, limits: Limits) -> np.ndarray:
+    """A word distance less what chance makes of a text of that length."""
+    return dw - limits.slack / np.sqrt(np.maximum(n_words, 1))
+
+
+def word_limits(texts: DataFrame, bins: dict, refs: dict, limits: Limits) -> dict[str, float]:
+    """For each language the largest excess kept: the upper quartile of all its
+    distinct texts that pass the base rules, and ``spread`` times the quartiles'
+    distance above it, but no more than ``max_word``. (A fence of this kind cuts
+    off what lies apart, and not a fixed share of any corpus.) Languages of
+    fewer than ``min_texts`` such texts have ``max_word``."""
+    def each(batches):
+        for b in batches:
+            _, dw, _, use = distances(b, bins, refs, limits)
+            e = excess(dw, b.column("n_words").to_numpy(), limits)
+            yield pa.record_batch([b.column("lang").filter(pa.array(use)), pa.array(e[use])], ["lang", "e"])
+    q = texts.mapInArrow(each, "lang string, e double").groupBy("lang").agg(
+        F.percentile_approx("e", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"), F.count("*").alias("n"))
+    return {r["lang"]: min(limits.max_word, r["q"][1] + limits.spread * (r["q"][1] - r["q"][0])) if r["n"] >= limits.min_texts else limits.max_word
+            for r in q.collect()}
 
 
 @dataclass
 class Rules:
-    """Common words and references of a corpus, with the limits."""
-    common: dict[str, dict[bytes, int]]
-    refs: dict
+    """Bins of the candidate words, references and word limits of a corpus."""
+    words: dict[str, dict[bytes, int]]
+    bins: dict[str, np.ndarray]
+    refs: dict[str, tuple[np.ndarray, np.ndarray]]
+    max_word: dict[str, float]
     limits: Limits
 
+    @property
+    def common(self) -> dict[str, list[bytes]]:
+        """The common words of each language, in the order of their bins."""
+        return {lang: [w for _, w in sorted((self.bins[lang][k], w) for w, k in own.items() if self.bins[lang][k] < N_COMMON)]
+                for lang, own in self.words.items()}
+
+    def verdict(self, b: pa.RecordBatch) -> tuple:
+        """(base failed, kept, class distance, word distance) of a batch of
+        measures with lang; distances that a guard leaves out are null."""
+        lim = self.limits
+        n_words, n_repeat = (b.column(x).to_numpy() for x in ("n_words", "n_repeat_words"))
+        dc, dw, use_c, use_w = distances(b, self.bins, self.refs, lim)
+        top = np.array([self.max_word.get(x, lim.max_word) for x in b.column("lang").to_pylist()])
+        failed = (n_words < lim.base_words) | (100 * n_repeat > lim.base_repeat * n_words)
+        kept = ~failed & ~(use_c & (dc > lim.max_class)) & ~(use_w & (excess(dw, n_words, lim) > top))
+        return pa.array(failed), pa.array(kept), pa.array(dc, mask=~use_c), pa.array(dw, mask=~use_w)
+
 
-def _plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
-        "*", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(17), "text").alias("h2"))
+def fit(rows: DataFrame, names: list[str], limits: Limits) -> tuple[DataFrame, Rules]:
+    """Measures of all rows (with lang and the columns ``names``), and the rules."""
+    words = candidate_words(rows)
+    m = measures(rows, words, [*names, *TEXT])
+    texts = distinct_texts(m, limits)
+    bins = common_words(texts, words)
+    refs = references(texts, bins, limits)
+    return m, Rules(words, bins, refs, word_limits(texts, bins, refs, limits), limits)
+
+
+VERDICTS = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", base_failed boolean, kept boolean, class_distance double, word_distance double"
+
+
+def _plain(docs: DataFrame, *more) -> DataFrame:
+    lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(*more, lang.alias("lang"), text.alias("text")).select("*", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(17), "text").alias("h2"))
 
 
 def judge(docs: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, Rules]:
@@ -317,31 +361,34 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, Rules]
     words; null lang is a language of its own (und); a language without a
     document of the minimum length that passes the base rules has no reference,
     and its documents are held to the base rules alone. Repeated rows each get
-    a verdict, but their text counts once in the references. An empty table has
-    no verdicts. Distances that a guard leaves out are null. The counts are
-    written once, so the references see all documents before the first verdict.
+    a verdict, but their text counts once in references and limits. An empty
+    table has no verdicts; other columns are left out. Distances that a guard
+    leaves out are null. The measures are written once, so the references see
+    all documents before the first verdict.
     """
-    rows = _plain(docs)
-    slots = copied_slots(rows)
-    common = common_words(rows, slots, limits)
-    m = write_shared(measures(rows, common, slots), "rules-measures")
-    refs = references(m, limits)
-    return verdicts(m, refs, limits), Rules(common, refs, limits)
+    m, rules = fit(_plain(docs, F.col("doc_id").cast("bigint").alias("doc_id")), ["doc_id"], limits)
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(b.column(c) for c in COUNTS), *rules.verdict(b)],
+                                             names=[x.split(" ")[0] for x in VERDICTS.split(", ")])
+    return m.mapInArrow(run, VERDICTS), rules
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    _, rules = judge(docs, limits)
-    common, refs = rules.common, rules.refs
+    """The documents that the rules keep, with all their columns, whatever their
+    names; null, empty and repeated rows as in ``judge``, an empty table stays
+    empty. The measures are written beside the documents, so that the verdicts
+    need neither another pass over the texts nor a join."""
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}     # Arrow functions do not take every name
+    m, rules = fit(_plain(docs, *[F.col(quoted(c)).alias(n) for c, n in own.items()]), list(own.values()), limits)
+    used = ["lang", "n_words", "n_repeat_words", "n_plain", "classes", "words"]
 
     @F.arrow_udf("boolean")
-    def good(lang: pa.Array, text: pa.Array) -> pa.Array:
-        b = pa.record_batch([pa.nulls(len(text), pa.int64()), lang, text], ["doc_id", "lang", "text"])
-        return judge_batch(measure_batch(b, common), refs, limits).column("kept")
+    def good(*cols: pa.Array) -> pa.Array:
+        return rules.verdict(pa.RecordBatch.from_arrays(list(cols), names=used))[1]
 
-    names = [f"`{c}`" for c in docs.columns]
-    lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(*names).filter(good(lang, text))
+    return m.filter(good(*[F.col(c) for c in used])).select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -198,3 +198,65 @@ def test_colliding_windows_are_told_apart(monkeypatch):
 def test_rules_empty_table(make_docs):
     assert quality_rules.judge(make_docs([]))[0].count() == 0
     assert quality_rules.keep_good(make_docs([])).count() == 0
+
+
+def test_verdicts_equal_plain_distances(make_docs):
+    """References, distances, limits and verdicts computed one text at a time."""
+    q, r = quality_rules, np.random.default_rng(4)
+    pool = [f"w{i}" for i in range(90)]
+    p = 1 / np.arange(1, 91)
+    texts = [" ".join(r.choice(pool, int(r.integers(5, 120)), p=p / p.sum())) + r.choice([".", " 12 |", "!"]) for _ in range(120)]
+    texts += ["| # | % " * 20, "ZZ QQ XX " * 12, "w1 w2 " * 40, "", "w0"] + texts[:6] * 5 + [" ".join(f"u{i} | {i}" for i in range(60))]
+    rows = [(i, t, ["en", None][i % 2]) for i, t in enumerate(texts)]
+    lim = q.Limits(min_texts=5)
+    got = {x.doc_id: x for x in q.judge(make_docs(rows, extra=["n_plain", "h1", "a.b"]), lim)[0].collect()}
+    plain = lambda t: t.encode().translate(q._PLAIN).split()
+    failed = {i: (lambda b: b[0] < 20 or 100 * b[4] > 30 * b[0])(brute(t)) for i, t, _ in rows}
+    for lang in ("en", None):
+        own = {t: i for i, t, x in rows if x == lang and not failed[i]}
+        df = Counter(w for t in own for w in set(plain(t)) if len(w) <= q.MAX_WORD)
+        common = [w for w, _ in sorted(df.items(), key=lambda e: (-e[1], e[0]))][:q.N_COMMON]
+
+        def hist(t):
+            c = Counter(q._class_of(x) for x in t)
+            w, n = Counter(plain(t)), max(1, len(plain(t)))
+            known = [w[x] / n for x in common] + [0.0] * (q.N_COMMON - len(common))
+            return np.array([c[k] / max(1, len(t)) for k in range(8)]), np.array(known + [(len(plain(t)) - sum(w[x] for x in common)) / n])
+
+        def js(a, b):
+            m = (a + b) / 2
+            kl = lambda x: sum(v * np.log2(v / y) for v, y in zip(x, m) if v > 0)
+            return max(0.0, (kl(a) + kl(b)) / 2) ** 0.5
+        long = [hist(t) for t in own if len(t.split()) >= lim.min_words]
+        ref = [np.mean([h[k] for h in long], 0) for k in (0, 1)]
+        over = lambda t: js(hist(t)[1], ref[1]) - lim.slack / len(t.split()) ** 0.5
+        e = sorted(over(t) for t in own if len(t.split()) >= lim.min_words)
+        lo, hi = (e[int(np.ceil(x * len(e))) - 1] for x in (0.25, 0.75))
+        top = min(lim.max_word, hi + lim.spread * (hi - lo))
+        for i, t, x in rows:
+            if x != lang:
+                continue
+            use_c, use_w = len(t) >= lim.min_chars, len(t.split()) >= lim.min_words
+            assert (got[i].class_distance is not None, got[i].word_distance is not None) == (use_c, use_w)
+            if use_c:
+                assert abs(got[i].class_distance - js(hist(t)[0], ref[0])) < 1e-6
+            if use_w:
+                assert abs(got[i].word_distance - js(hist(t)[1], ref[1])) < 1e-6
+            near = use_w and abs(over(t) - top) < 1e-9
+            want = not failed[i] and not (use_c and js(hist(t)[0], ref[0]) > lim.max_class) and not (use_w and over(t) > top)
+            assert near or got[i].kept == want
+    assert {x.kept for x in got.values() if not x.base_failed} == {True, False}
+
+
+def test_no_text_is_shuffled_whatever_repeats(make_docs, monkeypatch):
+    """All texts occur twice: what is dealt by their hashes has no text in it."""
+    seen = []
+    write = quality_rules.write_shared
+    monkeypatch.setattr(quality_rules, "write_shared", lambda df, name: seen.append((name, df._jdf.queryExecution().optimizedPlan().toString(), df.columns)) or write(df, name))
+    docs = make_docs([(i % 50, f"some words of text number {i % 50} " * 6, "en") for i in range(100)])
+    got, _ = quality_rules.judge(docs)
+    assert got.count() == 100
+    for name, plan, columns in seen:
+        if "Aggregate" in plan:
+            assert name == "rules-texts" and "text" not in columns and columns == ["lang", "n_words", "n_plain", "classes", "words"]
+    assert {n for n, _, _ in seen} == {"rules-measures", "rules-texts"}
