@@ -29,6 +29,7 @@ from mdq.llm.common import open_fs, read_table, shared_path, write_file, write_s
 MIN_DEDUP = 1000                   # bytes; smaller payloads are always stored
 FRAME_BYTES = 512 * 1024           # plain bytes after which a frame is closed
 BUNDLE_BYTES = 64 * 1024 * 1024    # compressed bytes after which a bundle is closed
+TASK_BYTES = 32 * 1024 * 1024      # plain bytes of the frames that a task reads
 LEVEL = 3
 DATE = "2000-01-01T00:00:00Z"      # the pages have no date of their own
 
@@ -200,9 +201,18 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split(" ")[0] for x in RECORD.split(", ")])
 
 
+def _tasks(frames: DataFrame) -> int:
+    """Tasks that read ``frames`` (a row for each, with its plain bytes). Index
+    rows are few bytes, so their size says nothing about the work behind them."""
+    s = frames.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    return max(1, min(s["n"], max(-(-(s["bytes"] or 0) // TASK_BYTES), 2 * frames.sparkSession.sparkContext.defaultParallelism)))
+
+
 def read_bundles(index: DataFrame, payloads: bool = True) -> DataFrame:
-    """Every record of the bundles in ``index``, a frame at a time; frames are
-    dealt to tasks by hash. Payloads are checked against their digests."""
+    """Every record of the bundles in ``index``, a frame at a time. Frames are
+    dealt to tasks by hash, about ``TASK_BYTES`` of records to each. Payloads are
+    checked against their digests. A record is returned once, also where index
+    rows repeat; an empty index gives an empty table."""
     def read(batches):
         bundles = Bundles()
         for b in batches:
@@ -212,12 +222,16 @@ def read_bundles(index: DataFrame, payloads: bool = True) -> DataFrame:
                     row, at = parse(plain, at)
                     rows.append(row if payloads else row[:-1] + (None,))
                 yield _batch(rows)
-    return index.select("file", "frame").distinct().sortWithinPartitions("file", "frame").mapInArrow(read, RECORD)
+    frames = index.groupBy("file", "frame").agg(F.sum("length").alias("bytes"))
+    return (frames.select("file", "frame").repartition(_tasks(frames), "file", "frame").sortWithinPartitions("file", "frame")
+            .mapInArrow(read, RECORD))
 
 
 def fetch(index: DataFrame, ids: DataFrame) -> DataFrame:
     """The records of the page ids in ``ids`` (column page_id): of each frame
-    that holds any, only their places are parsed."""
+    that holds any, only their places are parsed. Null ids find nothing; an id
+    that repeats in ``ids`` gives its records once, one that repeats in the
+    bundles all of them; one that is in no bundle gives none."""
     def read(batches):
         bundles, at = Bundles(), (None, None)
         for b in batches:
@@ -228,8 +242,9 @@ def fetch(index: DataFrame, ids: DataFrame) -> DataFrame:
                 rows.append(parse(plain, o)[0])
             if rows:
                 yield _batch(rows)
-    found = index.join(ids.select("page_id").distinct(), "page_id", "left_semi").select("file", "frame", "offset")
-    return found.repartition("file", "frame").sortWithinPartitions("file", "frame", "offset").mapInArrow(read, RECORD)
+    found = write_shared(index.join(ids.select("page_id").distinct(), "page_id", "left_semi").select("file", "frame", "offset"), "warc-wanted")
+    frames = found.groupBy("file", "frame").agg(F.lit(FRAME_BYTES).alias("bytes"))
+    return found.repartition(_tasks(frames), "file", "frame").sortWithinPartitions("file", "frame", "offset").mapInArrow(read, RECORD)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
