@@ -26,6 +26,7 @@ MIN_WORDS = 200
 BLOCK_ROWS = 1 << 16
 WINDOW = 1 << 12                # entries of the shortest list that one step of a merge takes
 ROWS_PER_TASK = 1 << 20
+BLOCKS_PER_TASK = 16
 
 #: Fixed values of filters C and D.
 UPPER, MARKS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
@@ -186,9 +187,12 @@ def interactions(postings: DataFrame, filters: list[str], losses: list[str]) ->
                 part, rows = b.column(0)[k].as_py(), b.column(3)[k].as_py()
                 cols = [[part] * len(got), [rows] * len(got), [len(own[x[1]]) for x in got], *zip(*got)]
                 yield pa.record_batch([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(cols)], names)
+    n = postings.count()
+    tasks = max(1, min(n, max(-(-n // BLOCKS_PER_TASK), postings.sparkSession.sparkContext.defaultParallelism)))
+    dealt = postings.repartition(tasks, "part", "low", "high")
     schema = "part string, rows bigint, fails bigint, `set` bigint, filter bigint, before bigint, removed bigint" + "".join(
         f", `{c}` bigint" for c in losses)
-    return (postings.mapInArrow(sizes, schema).groupBy("part", "set", "filter")
+    return (dealt.mapInArrow(sizes, schema).groupBy("part", "set", "filter")
             .agg(*[F.sum(c).alias(c) for c in ("rows", "fails", "before", "removed", *losses)]))
 
 
