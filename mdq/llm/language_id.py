@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from mdq.llm.common import crc_mod, hash_unit, read_table
+from mdq.llm.common import free_prefix, quoted, crc_mod, hash_unit, read_table
 
 BITS = 13
 BLOCK = 1 << 20
@@ -152,19 +153,24 @@ class LanguageModel:
         return lang, score, answer
 
 
-def fit(docs: DataFrame, per_language: int = 250, max_rows: int = 4000, seed: int = 6) -> LanguageModel:
+def fit(docs: DataFrame, per_language: int = 250, max_rows: int = 4000, max_languages: int = 200, seed: int = 6) -> LanguageModel:
     """Train on the rows whose crc32(doc_id as text) mod 5 is not 0 and whose
-    lang is known: about ``per_language`` of each language, chosen by a hash of
-    the id, and about ``max_rows`` in all. Only their feature vectors (counts
-    of ``1 << BITS`` buckets) come to the driver. No usable row: a model that
-    answers ``und``."""
+    lang is known: about ``per_language`` of each of the ``max_languages`` most
+    frequent languages, chosen by a hash of id and text, and about ``max_rows``
+    in all; of a row that repeats, one, and never more than twice the number
+    wanted. Only their feature vectors (counts of ``1 << BITS`` buckets) come to
+    the driver. No usable row: a model that answers ``und``."""
     rows = docs.filter((crc_mod("doc_id", 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
+                       hash_unit("doc_id", "text", seed=seed).alias("u"))
+    counts = {r["lang"]: r["n"] for r in rows.select("lang", "u").distinct().groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     if not counts:
         return LanguageModel([], [], [], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32))
     per = max(1, min(per_language, max_rows // len(counts)))
     share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per / n))])
-    chosen = rows.filter(hash_unit("doc_id", seed=seed) < share[F.col("lang")]).select("doc_id", "lang", "text")
+    chosen = rows.filter(F.col("u") < share[F.col("lang")])
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("u", "doc_id"))
+    chosen = chosen.dropDuplicates(["lang", "doc_id", "u"]).withColumn("k", rank).filter(F.col("k") <= 2 * per).select("doc_id", "lang", "text")
 
     def vectors(batches):
         for b in batches:
@@ -211,9 +217,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         lang, score = model.predict(text.to_pylist())
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
 
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    out = docs.select(*[f"`{c}`" for c in names]).withColumn("li__", predict(F.col("text")))
-    return out.select(*[f"`{c}`" for c in names], "li__.lang_pred", "li__.score")
+    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    own = free_prefix(docs.columns, "li")
+    out = docs.select(*[quoted(c) for c in names]).withColumn(own, predict(F.col("text")))
+    return out.select(*[quoted(c) for c in names], f"{own}.lang_pred", f"{own}.score")
 
 
 def keep_known(docs: DataFrame, model: LanguageModel, min_answer: float = 0.7, min_letters: int = 100) -> DataFrame:
@@ -228,7 +235,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, min_answer: float = 0.7, m
         return pa.array([x != "und" and (a >= min_answer or n_letters(t) < min_letters)
                          for t, x, a in zip(texts, lang, answer)], pa.bool_())
 
-    return docs.select(*[f"`{c}`" for c in docs.columns]).filter(known(F.col("text")))
+    return docs.select(*[quoted(c) for c in docs.columns]).filter(known(F.col("text")))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from mdq.llm.common import crc_mod, hash_unit, read_table
+from mdq.llm.common import crc_mod, hash_unit, quoted, read_table
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE = 8, 4           # of a filter; windows overlap by half
@@ -182,19 +183,22 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 1, epochs: in
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, chunks_per_row: int = 12, seed: int = 1) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, max_bytes: int = 1 << 20, seed: int = 1) -> Network:
     """Train on about ``max_rows`` labelled rows (half of each label, chosen by
-    a hash of the id) whose crc32(doc_id as text) mod 3 is not 1. Of a long
-    text, ``chunks_per_row`` chunks spread evenly over it are used. Null labels
-    are left out; several labels of one id count as several rows. Without any
-    usable row the network stays untrained."""
-    own = labels.select("doc_id", "quality").filter((crc_mod("doc_id", 3) != 1) & F.col("quality").isin(0, 1))
+    a hash of the id; never more than ``max_rows`` of a label, whatever repeats)
+    whose crc32(doc_id as text) mod 3 is not 1, with all chunks of their texts;
+    rows with a text over ``max_bytes`` are not chosen. Null labels are left out; an id with both labels counts with both. Without
+    any usable row the network stays untrained."""
+    own = labels.select("doc_id", "quality").filter((crc_mod("doc_id", 3) != 1) & F.col("quality").isin(0, 1)).distinct()
     counts = {r["quality"]: r["n"] for r in own.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Network.start(seed)
     share = F.create_map(*[F.lit(v) for q, n in counts.items() for v in (q, min(1.0, max_rows / 2 / n))])
     chosen = own.filter(hash_unit("doc_id", seed=seed) < share[F.col("quality")])
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")   # about max_rows ids
+    u = hash_unit("doc_id", "text", seed=seed)
+    rows = (rows.filter(F.octet_length("text") <= max_bytes).withColumn("u", u).dropDuplicates(["doc_id", "quality", "u"])
+            .withColumn("k", F.row_number().over(W.partitionBy("quality").orderBy("u", "doc_id"))).filter(F.col("k") <= max_rows))
 
     def chunks(batches):
         for b in batches:
@@ -202,9 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, chunks_per_row
             x = []
             for t in text:
                 raw = t.encode()
-                s = chunk_starts(len(raw))
-                s = s[np.unique(np.linspace(0, len(s) - 1, min(len(s), chunks_per_row)).astype(int))]
-                x.append(cut(raw, s).tobytes())
+                x.append(cut(raw, chunk_starts(len(raw))).tobytes())
             yield pa.record_batch([pa.array(d, pa.int64()), pa.array(q, pa.int32()), pa.array(x, pa.binary())],
                                   ["doc_id", "quality", "chunks"])
 
@@ -218,15 +220,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, chunks_per_row
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """``docs`` plus score and predicted (columns of these names are replaced).
 
-    The whole text counts; null and empty texts are one empty chunk and get the
+    The whole text counts, however long, a chunk at a time; null and empty texts are one empty chunk and get the
     score the network gives to nothing. Equal texts get equal scores up to the
     last digits of single precision. An empty table stays empty."""
     @F.arrow_udf("double")
     def quality(text: pa.Array) -> pa.Array:
         return pa.array(net.scores([(t or "").encode() for t in text.to_pylist()]).astype(np.float64), pa.float64())
 
-    names = [c for c in docs.columns if c not in ("score", "predicted")]
-    out = docs.select(*[f"`{c}`" for c in names]).withColumn("score", quality(F.col("text")))
+    names = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    out = docs.select(*[quoted(c) for c in names]).withColumn("score", quality(F.col("text")))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

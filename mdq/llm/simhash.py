@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdq.llm.common import connected_components, read_table, write_shared
+from mdq.llm.common import connected_components, free_prefix, quoted, read_table, write_shared
 
 SHINGLE = 4
 RADIUS = 4
@@ -240,18 +240,19 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     (null ids last), then of the smallest text hash. Where whole rows of that id
     and text repeat, one of them stays."""
     got = write_shared(components(docs, shingle, radius).drop("fp", "component_id"), "simhash-rows")
+    p = free_prefix(docs.columns, "sd")
     best = got.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("z"), "doc_id", "text_hash")).alias("m"))
-    best = best.select(F.col("m.doc_id").alias("sd__id"), F.col("m.text_hash").alias("sd__hash"))
+    best = best.select(F.col("m.doc_id").alias(f"{p}id"), F.col("m.text_hash").alias(f"{p}hash"))
     several = got.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1")
-    best = write_shared(best.join(several, F.col("sd__id").eqNullSafe(F.col("doc_id")) & (F.col("sd__hash") == F.col("text_hash")), "left")
-                        .select("sd__id", "sd__hash", F.col("n").isNotNull().alias("sd__again")), "simhash-best")
-    names = [f"`{c}`" for c in docs.columns]
-    rows = docs.join(best, F.col("doc_id").cast("bigint").eqNullSafe(F.col("sd__id"))
-                     & (F.xxhash64(F.col("text").cast("string")) == F.col("sd__hash")))
-    if best.filter("sd__again").limit(1).count() == 0:
+    best = write_shared(best.join(several, F.col(f"{p}id").eqNullSafe(F.col("doc_id")) & (F.col(f"{p}hash") == F.col("text_hash")), "left")
+                        .select(f"{p}id", f"{p}hash", F.col("n").isNotNull().alias(f"{p}again")), "simhash-best")
+    names = [quoted(c) for c in docs.columns]
+    rows = docs.join(best, F.col("doc_id").cast("bigint").eqNullSafe(F.col(f"{p}id"))
+                     & (F.xxhash64(F.col("text").cast("string")) == F.col(f"{p}hash")))
+    if best.filter(f"{p}again").limit(1).count() == 0:
         return rows.select(*names)
-    once = rows.filter("sd__again").dropDuplicates(["sd__id", "sd__hash"])
-    return rows.filter("not sd__again").select(*names).unionByName(once.select(*names))
+    once = rows.filter(f"{p}again").dropDuplicates([f"{p}id", f"{p}hash"])
+    return rows.filter(f"not {p}again").select(*names).unionByName(once.select(*names))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
