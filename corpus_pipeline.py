@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mdq.llm import language_id, mixing, packing, quality_rules, simhash
-from mdq.llm.common import read_table, write_shared
+from mdq.llm.common import quoted, read_table, write_shared
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents so that every source has the same expected share."""
-    return mixing.mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    return mixing.mix(docs).select(*[quoted(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
