@@ -110,7 +110,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path
     step = 4 * capacity
 
     def cut(batches):
-        enc = encoder(path, spaces=False, memo_size=350_000)
+        enc = encoder(path, spaces=False, memo_size=200_000)
         for b in batches:
             names, texts = b.column(0).to_pylist(), b.column(1)
             for lo, hi in text_groups(texts, 7_000_000):

@@ -34,6 +34,7 @@ SENTENCE = ".,;:!?'\"()-"
 N_COMMON = 60
 N_CANDIDATES = 400       # of each language, the words among which the common ones are
 WINDOW = 8
+SLICE = 1000             # rows whose texts a task holds as Python strings
 MAX_WORD = 40            # bytes; a longer word is never a common one
 TEXT = ["lang", "h1", "h2"]
 CLASSES = ["small", "capital", "other letter", "digit", "space", "sentence", "symbol", "other"]
@@ -147,7 +148,7 @@ def candidate_words(rows: DataFrame, n: int = N_CANDIDATES) -> dict[str, dict[by
     word), numbered: among them are the common words. A text that a task meets
     again is passed over, so a group of copies adds at most one for each task.
     Tasks add up their words before the shuffle and hand counts on when they
-    hold 300,000 words."""
+    hold 150,000 words."""
     def add_up(batches):
         held, seen = {}, set()
 
@@ -157,16 +158,16 @@ def candidate_words(rows: DataFrame, n: int = N_CANDIDATES) -> dict[str, dict[by
             for lo in range(0, len(out), 50_000):
                 lang, w, k = zip(*out[lo:lo + 50_000])
                 yield pa.record_batch([pa.array(lang, pa.string()), pa.array(w, pa.binary()), pa.array(k, pa.int64())], ["lang", "word", "n"])
-        for b in batches:
-            for lang, h, text in zip(*(b.column(c).to_pylist() for c in ("lang", "h1", "text"))):
-                if (lang, h) in seen:
-                    continue
-                if len(seen) > 200_000:
-                    seen.clear()
-                seen.add((lang, h))
-                held.setdefault(lang, Counter()).update(set(text.encode().translate(_PLAIN).split()))
-                if sum(map(len, held.values())) > 300_000:
-                    yield from emit()
+        for lang, h, text in (row for whole in batches for lo in range(0, whole.num_rows, SLICE)
+                              for row in zip(*(whole.slice(lo, SLICE).column(c).to_pylist() for c in ("lang", "h1", "text")))):
+            if (lang, h) in seen:
+                continue
+            if len(seen) > 100_000:
+                seen.clear()
+            seen.add((lang, h))
+            held.setdefault(lang, Counter()).update(set(text.encode().translate(_PLAIN).split()))
+            if sum(map(len, held.values())) > 150_000:
+                yield from emit()
         yield from emit()
 
     by = W.partitionBy("lang").orderBy(F.desc("n"), "word")
@@ -192,14 +193,17 @@ def measure_batch(lang: list[str], text: list[str], words: dict[str, dict[bytes,
                            [x.split(" ")[0] for x in MEASURES.split(", ")])
 
 
-def measures(rows: DataFrame, words: dict[str, dict[bytes, int]], names: list[str]) -> DataFrame:
+def measures(rows: DataFrame, words: dict[str, dict[bytes, int]], names: list[str], text: str = "text") -> DataFrame:
     """The measures of each row, beside its columns ``names``, written once: no
-    text is split a second time."""
+    text is split a second time. ``text``: the column that holds it."""
     def run(batches):
-        for b in batches:
-            m = measure_batch(b.column("lang").to_pylist(), b.column("text").to_pylist(), words)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *m.columns], names=names + m.schema.names)
-    rows = rows.select(*names, "text")
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                b = whole.slice(lo, SLICE)
+                m = measure_batch(b.column("lang").to_pylist(), [t or "" for t in b.column(text).to_pylist()], words)
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *m.columns], names=names + m.schema.names)
+            pa.default_memory_pool().release_unused()
+    rows = rows.select(*dict.fromkeys([*names, text]))
     schema = T.StructType([rows.schema[n] for n in names] + T.StructType.fromDDL(MEASURES).fields)
     return write_shared(rows.mapInArrow(run, schema), "rules-measures")
 
@@ -336,10 +340,10 @@ class Rules:
         return pa.array(failed), pa.array(kept), pa.array(dc, mask=~use_c), pa.array(dw, mask=~use_w)
 
 
-def fit(rows: DataFrame, names: list[str], limits: Limits) -> tuple[DataFrame, Rules]:
+def fit(rows: DataFrame, names: list[str], limits: Limits, text: str = "text") -> tuple[DataFrame, Rules]:
     """Measures of all rows (with lang and the columns ``names``), and the rules."""
     words = candidate_words(rows)
-    m = measures(rows, words, [*names, *TEXT])
+    m = measures(rows, words, [*names, *TEXT], text)
     texts = distinct_texts(m, limits)
     bins = common_words(texts, words)
     refs = references(texts, bins, limits)
@@ -381,7 +385,8 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     empty. The measures are written beside the documents, so that the verdicts
     need neither another pass over the texts nor a join."""
     own = {c: f"c{i}" for i, c in enumerate(docs.columns)}     # Arrow functions do not take every name
-    m, rules = fit(_plain(docs, *[F.col(quoted(c)).alias(n) for c, n in own.items()]), list(own.values()), limits)
+    text = next((n for c, n in own.items() if c == "text" and isinstance(docs.schema[c].dataType, T.StringType)), "text")   # not sent twice
+    m, rules = fit(_plain(docs, *[F.col(quoted(c)).alias(n) for c, n in own.items()]), list(own.values()), limits, text)
     used = ["lang", "n_words", "n_repeat_words", "n_plain", "classes", "words"]
 
     @F.arrow_udf("boolean")
