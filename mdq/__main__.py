@@ -53,6 +53,7 @@ def main(argv=None) -> int:
             s.add_argument("--history")
             s.add_argument("--new-history", action="store_true")
             s.add_argument("--reports", help="folder for the run's source counts, quarantine and material sketches")
+            s.add_argument("--changes", help="folder of the last run's row index: evaluate only what a change has reached")
             s.add_argument("--late", action="store_true", help="the date may lie before the last run")
     args = p.parse_args(argv)
 
@@ -69,7 +70,7 @@ def main(argv=None) -> int:
         from mdq.plans.history import daily_run
         from mdq.plans.scorecard import in_report_order
         as_of = args.as_of or spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
-        card = in_report_order(daily_run(t, as_of, args.snapshots, args.history, args.new_history, args.late, args.reports))
+        card = in_report_order(daily_run(t, as_of, args.snapshots, args.history, args.new_history, args.late, args.reports, args.changes))
         if args.out:
             card.write.mode("overwrite").parquet(args.out)
         else:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from mdq.plans.catalog import enabled_rules
 from mdq.plans.conform import KEY, conformed_at_dates, conformed_suite
 from mdq.plans.history_store import HistoryStore
-from mdq.sources.tables import Tables
+from mdq.sources.tables import TABLE_NAMES, Tables
 
 col = F.col
 
@@ -166,7 +166,7 @@ def append_history(snapshot: DataFrame, root: str, as_of: str, new_history: bool
 
 
 def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None, new_history: bool = False,
-              late: bool = False, reports: str | None = None) -> DataFrame:
+              late: bool = False, reports: str | None = None, changes: str | None = None) -> DataFrame:
     """One scheduled run: conformed suite -> dated snapshot -> history (the
     snapshot appended to the earlier runs', or spliced in if it is ``late``) ->
     scorecard.
@@ -174,13 +174,16 @@ def daily_run(t, as_of: str, snapshot_root: str, history_root: str | None = None
     The suite reads tables and shared views that are written once for the run.
     Under ``reports`` the run leaves, for its date, how many values of each
     source column could not be read (``sources``), these values
-    (``quarantine``), and the sketches of the materials (``materials``)."""
+    (``quarantine``), and the sketches of the materials (``materials``).
+    With ``changes``, a folder of a ``ChangeStore``, only the materials are
+    evaluated that something reached since the last run there."""
     from mdq.plans.catalog import catalog_df
+    from mdq.plans.changes import ChangeStore
     from mdq.plans.scorecard import material_sketches, scorecard
 
     spark = t.spark
-    t = t.materialize()
-    write_snapshot(conformed_suite(t, as_of), snapshot_root, as_of)
+    t = t.materialize(names=TABLE_NAMES if changes else None)
+    write_snapshot(ChangeStore(spark, changes).run(t, as_of) if changes else conformed_suite(t, as_of), snapshot_root, as_of)
     snap = spark.read.parquet(f"{snapshot_root.rstrip('/')}/SNAPSHOT_DATE={as_of}")
     if history_root:
         append_history(snap, history_root, as_of, new_history, late)

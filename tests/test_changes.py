@@ -1,0 +1,193 @@
+"""The conformed view by changed keys against the whole evaluation."""
+
+import datetime as dt
+import decimal
+import os
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from datapaths import SF_SMALL
+from mdq.operators import RULES
+from mdq.plans.catalog import enabled_rules
+from mdq.plans.changes import FAMILIES, KEY_COLUMN, ChangeStore, changed_keys, row_index
+from mdq.plans.conform import conformed_suite
+from mdq.sources import contract
+from mdq.sources.tables import TABLE_NAMES, Tables
+
+AS_OF = "1998-06-30"
+MATERIALS = [f"M{i}" for i in range(12)] + ["007", "7", "0012", "12"]
+SYSTEMS = ["ATHENA1", "XATHENA", "P08", "SHIFT", "OTHER", "kinaxis"]
+DOMAIN = {"SOURCE_SYSTEM": SYSTEMS, "MARA_SOURCE_SYSTEM": SYSTEMS, "INFNR": [f"I{i}" for i in range(14)] + ["", " "], "EKORG": ["E1", "E2", "E3"],
+          "WERKS": ["W1", "W2", "W3"], "KAPID": ["K1", "K2", "K3", "K4", " "], "KAKO_KAPID": ["K1", "K2", "K3"], "OBJTY": ["A", "B"],
+          "SITE": ["W1", "W2", "S1", "W1_0"], "FROM_SITE": ["S1", "W1"], "SITE_UID": ["kinaxis_S1", "S1"], "FROM_SITE_UID": ["kinaxis_S1", "x_W1"],
+          "TYPE": ["Make", "Transfer", "x"], "ORDER_POLICY": ["NoOrders", "x", ""], "DOCK_TO_STOCK_LEAD_TIME": ["3", "5", "x"], "RELEVANCYKNX": ["1", "0"],
+          "MSTAE": ["XX", "A"], "ZMTAR": ["PM", "x"], "MTART": ["SF", "x"], "BESKZ": ["F", "E"], "MMSTA": ["XX", "A"], "DISMM": ["ND", "P"],
+          "LOEKZ": ["X", ""], "LVORM": ["X", ""], "MEINS": ["KG", "EA"], "LMEIN": ["KG", "EA"], "MEINH": ["KG", "EA"], "BPRME": ["KG", "EA", " "]}
+RARE = {"SOURCE_SYSTEM": 0.05, "LOEKZ": 0.8, "LVORM": 0.8, "MSTAE": 0.1, "IS_ACTIVE": 0.1}      # shares of NULL
+
+
+def value(r, table, f):
+    if r.random() < RARE.get(f.name, 0.12):
+        return None
+    if f.name in ("GMID", "MATNR", "MARA_MATNR", "FROM_GMID", "GMID_CODE"):
+        m = r.choice(MATERIALS)
+        return f"{m}|{r.choice(['W1', 'S1'])}" if table in ("demand", "forecast") else m
+    kind = f.dataType.typeName()
+    if kind == "decimal":
+        return decimal.Decimal(str(r.choice([-1, 0, "0.5", 1, 3, 5, 7, 10])))
+    if kind == "date":
+        return dt.date(1998, 6, 30) + dt.timedelta(r.choice([-400, -366, -365, -1, 0, 1, 2, 5, 6, 7, 8, 12, 20, 1096]))
+    if kind == "boolean":
+        return r.random() < 0.6
+    return r.choice(DOMAIN.get(f.name, ["", " ", "X", "1", "2", "A"]))
+
+
+def odd_row(r, table):
+    return tuple(value(r, table, f) for f in contract.columns(table).fields)
+
+
+def registry(spark, rows):
+    return Tables(spark, {n: (lambda n=n: spark.createDataFrame(rows[n], contract.columns(n))) for n in TABLE_NAMES})
+
+
+def some_change(r, rows, names, share=0.05):
+    """Rows that go, come, repeat or get one other value."""
+    out = {n: list(v) for n, v in rows.items()}
+    for n in names:
+        for _ in range(max(1, int(len(out[n]) * share))):
+            i, how = r.randrange(len(out[n])), r.choice(["go", "come", "repeat", "edit", "edit"])
+            if how == "go":
+                out[n].pop(i)
+            elif how == "come":
+                out[n].append(odd_row(r, n))
+            elif how == "repeat":
+                out[n].append(out[n][i])
+            else:
+                fields = contract.columns(n).fields
+                j = r.randrange(len(fields))
+                row = list(out[n][i])
+                row[j] = value(r, n, fields[j])
+                out[n][i] = tuple(row)
+    return out
+
+
+@pytest.fixture(autouse=True)
+def small(spark):
+    """Tables of a few rows: most of the time would go into compiling plans."""
+    before = {"spark.sql.shuffle.partitions": "8", "spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    for k, v in zip(before, ("2", "false", "NO_CODEGEN")):
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.select("SOURCE_SYSTEM", "GMID", "ATTRIBUTE", "COMPLETENESS", "ACCURACY").collect())
+
+
+def write_changed(spark, rows, before, old, path):
+    """The registry of ``rows``; sources that are as they were stay the tables written before."""
+    new = [n for n in TABLE_NAMES if old is None or rows[n] != old[n]]
+    t = registry(spark, rows).materialize(path, new)
+    return t if old is None else Tables(spark, {n: (lambda n=n: (t if n in new else before)[n]) for n in TABLE_NAMES})
+
+
+def test_days_by_changes_equal_whole_days(spark, tmp_path):
+    r = random.Random(2)
+    rows, old, t = {n: [odd_row(r, n) for _ in range(40)] for n in TABLE_NAMES}, None, None
+    store = ChangeStore(spark, str(tmp_path / "s"))
+    for step, day in enumerate(("1998-06-30", "1998-07-07", "1998-07-04")):      # a later date, then an earlier one
+        t = write_changed(spark, rows, t, old, str(tmp_path / f"t{step}"))
+        got = store.run(t, day)
+        assert bag(got) == bag(conformed_suite(t, day)) and bag(store.snapshot()) == bag(got)
+        old, rows = rows, some_change(r, rows, r.sample(TABLE_NAMES, 4))
+
+
+READ_BY = {"purchasing": ("eine", "eina", "marc", "mara", "marm", "eord", "lfm2"), "capacity": ("kako", "crca", "pp_tabs"),
+           "work_centre": ("crhd", "marc", "mara"), "lanes": ("bod", "part_dim", "material", "demand", "forecast", "marc", "mara")}
+
+
+#: Of the largest family, the rules that have all ways of joining between them.
+WAYS = ("dq_bstae", "dq_minbm", "dq_netpr", "dq_uebto", "dq_untto", "dq_meins", "dq_umren", "dq_bdatu")
+
+
+@pytest.mark.parametrize("family", FAMILIES, ids=lambda f: f.name)
+def test_each_source_alone(spark, tmp_path, family):
+    """One source changes at a time, so no other change covers for a way that is missing."""
+    r, rules = random.Random(77), [RULES[k] for k in family.rules if len(family.rules) < 10 or k in WAYS]
+    rows = {n: [odd_row(r, n) for _ in range(40)] for n in TABLE_NAMES}
+    store = ChangeStore(spark, str(tmp_path / "s"))
+    t = write_changed(spark, rows, None, None, str(tmp_path / "t"))
+    store.run(t, AS_OF, rules)
+    for n in READ_BY[family.name]:
+        old, rows = rows, some_change(r, rows, [n], share=0.1)
+        t = write_changed(spark, rows, t, old, str(tmp_path / f"t-{n}"))
+        assert bag(store.run(t, AS_OF, rules)) == bag(conformed_suite(t, AS_OF, rules)), n
+
+
+def test_one_percent_of_changes_evaluates_about_those_materials(spark, tmp_path):
+    base = Tables.from_tpch(spark, SF_SMALL).materialize(str(tmp_path / "base"), TABLE_NAMES)
+    pick = F.pmod(F.xxhash64("MATNR"), F.lit(100)) == 0
+    edited = Tables(spark, {n: (lambda n=n: base[n]) for n in TABLE_NAMES if n != "eina"}
+                    | {"eina": lambda: base.eina.withColumn("UMREZ", F.when(pick, F.col("UMREZ") + 1).otherwise(F.col("UMREZ")))}
+                    ).materialize(str(tmp_path / "edited"), TABLE_NAMES)
+    store, rules = ChangeStore(spark, str(tmp_path / "s")), [RULES[k] for k in ("dq_umren", "dq_netpr", "dq_meins", "dq_kapid", "dq_lvorm", "dq_to_site")]
+    first = bag(store.run(base, AS_OF, rules))
+    assert store.reached("purchasing") is None                  # the first run evaluates all
+    got = bag(store.run(edited, AS_OF, rules))
+    assert got == bag(conformed_suite(edited, AS_OF, rules)) != first
+    changed = {x["MATNR"] for x in base.eina.where(pick & F.col("UMREZ").isNotNull()).select("MATNR").distinct().collect()}
+    assert {x["GMID"] for x in store.reached("purchasing").collect()} == changed | {None}
+    assert all(store.reached(f).count() == 0 for f in ("capacity", "work_centre", "lanes"))
+    assert 0 < len(changed) < 0.05 * base.eina.select("MATNR").distinct().count()
+    store.run(edited, AS_OF, rules)                             # nothing changed: nothing is evaluated
+    assert all(store.reached(f.name).count() == 0 for f in FAMILIES) and bag(store.snapshot()) == got
+
+
+def test_other_rules_or_versions_evaluate_all(spark, tmp_path):
+    t = Tables.from_tpch(spark, SF_SMALL).materialize(str(tmp_path / "t"), TABLE_NAMES)
+    store, rules = ChangeStore(spark, str(tmp_path / "s")), [RULES["dq_netpr"], RULES["dq_to_site"], RULES["dq_loekz"]]
+    store.run(t, AS_OF, rules)
+    assert bag(store.run(t, AS_OF, rules)) == bag(conformed_suite(t, AS_OF, rules)) and store.reached("purchasing") is not None
+    store.run(t, AS_OF, rules, version="2")
+    assert store.reached("purchasing") is None
+    assert bag(store.run(t, AS_OF, rules[:2], version="2")) == bag(conformed_suite(t, AS_OF, rules[:2])) and store.reached("lanes") is None
+
+
+def test_broken_runs_do_not_count_and_are_cleaned(spark, tmp_path, monkeypatch):
+    t = Tables.from_tpch(spark, SF_SMALL).materialize(str(tmp_path / "t"), TABLE_NAMES)
+    store, rules = ChangeStore(spark, str(tmp_path / "s")), [RULES["dq_netpr"]]
+    want = bag(store.run(t, AS_OF, rules))
+
+    def broken(*a):
+        raise OSError("gone")
+    with monkeypatch.context() as mp:
+        mp.setattr(store.manifest, "commit", broken)
+        with pytest.raises(OSError):
+            store.run(t, "1999-06-30", rules)
+    assert bag(store.snapshot()) == want and store.manifest.read()[1]["as_of"] == AS_OF
+    assert len([x for x in os.listdir(store.root) if x.startswith("run-")]) == 2
+    assert len(store.clean(older_than_hours=-1)) == 1 and bag(store.snapshot()) == want
+
+
+def test_index_sees_every_kind_of_change(spark):
+    schema = contract.columns("lfm2")                           # LIFNR, EKORG, BSTAE
+    index = lambda rows: row_index(spark.createDataFrame(rows, schema), "lfm2")
+    base = [("a", "E1", None), ("a", "E1", None), ("b", "E1", "x"), (None, "E2", "y"), ("c", None, "z"), ("", "E3", "q")]
+    keys = lambda rows: sorted((r["KEY"] for r in changed_keys(index(base), index(rows)).collect()), key=str)
+    assert keys(base) == keys(base[::-1]) == []
+    assert keys(base[1:]) == ["E1"] and keys([*base, base[2]]) == ["E1"]                        # a copy less, a copy more
+    assert keys([("b", "E1", "x"), ("b", "E1", "x"), *base[2:]]) == ["E1"]                      # two copies replaced by two of another
+    assert keys([*base[:3], ("y", "E2", None), *base[4:]]) == ["E2"]                            # a value that moves to another column
+    assert keys([*base[:4], *base[5:]]) == [None] and keys([*base[:5], (None, "E3", "q")]) == ["E3"]
+    assert keys([*base[:2], ("b", "E9", "x"), *base[3:]]) == ["E1", "E9"] and keys([]) == ["E1", "E2", "E3", None]
+
+
+def test_every_rule_has_one_family_and_every_source_a_key():
+    assert Counter(k for f in FAMILIES for k in f.rules) == Counter(r.key for r in enabled_rules())
+    assert set(KEY_COLUMN) == set(TABLE_NAMES)
+    assert {r.attribute for r in RULES.values() if r.uses_as_of} == {"BDATU", "LOEKZ", "NOTKZ", "PRDAT", "from_gmid code", "order policy"}
