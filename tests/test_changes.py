@@ -194,3 +194,14 @@ def test_every_rule_has_one_family_and_every_source_a_key():
     assert Counter(k for f in FAMILIES for k in f.rules) == Counter(r.key for r in enabled_rules())
     assert set(KEY_COLUMN) == set(TABLE_NAMES)
     assert {r.attribute for r in RULES.values() if r.uses_as_of} == {"BDATU", "LOEKZ", "NOTKZ", "PRDAT", "from_gmid code", "order policy"}
+
+
+def test_daily_runs_by_changes(spark, tmp_path):
+    from mdq.plans.history import daily_run, read_history
+    t, p = Tables.from_tpch(spark, SF_SMALL), lambda x: str(tmp_path / x)
+    daily_run(t, AS_OF, p("snap"), p("hist"), True, changes=p("changes"))
+    daily_run(t, "1998-12-31", p("snap"), p("hist"), changes=p("changes"))
+    want = conformed_suite(t, "1998-12-31")
+    assert bag(spark.read.parquet(p("snap/SNAPSHOT_DATE=1998-12-31"))) == bag(want)
+    assert bag(read_history(spark, p("hist")).where("VALID_TO is null")) == bag(want)
+    assert ChangeStore(spark, p("changes")).reached("purchasing").count() > 0
