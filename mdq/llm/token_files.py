@@ -29,6 +29,7 @@ from mdq.llm.tokens import BYTE_BPE, encoder, text_groups, vocabulary
 MAGIC = b"FRVB0001"
 END_ID = 2
 TOKENS_PER_FILE = 2_000_000
+READ_BYTES = 16 << 20       # file bytes a reading task gets, about
 
 #: For each control byte, the length codes (0 to 3: 1 to 4 bytes) of its four ranks.
 CODES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8)
@@ -149,16 +150,40 @@ def write_token_files(docs: DataFrame, root: str, path: str | None = None, end_i
     return write_shared(rows.mapInArrow(write, MANIFEST), "token-manifest")
 
 
+def first_positions(manifest: DataFrame) -> DataFrame:
+    """file and ``base``, the ids in all files before it, by ``part``.
+
+    A running sum over the files of each writing task, on top of one over these
+    tasks' totals: the only window without a key sees a row per writing task.
+    Equal parts (a manifest joined from several) are in the order of their files.
+    """
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    files = manifest.select("file", "part", "n_tokens", F.shiftright("part", 24).alias("task"))
+    own = F.sum("n_tokens").over(before(W.partitionBy("task").orderBy("part", "file")))
+    tasks = files.groupBy("task").agg(F.sum("n_tokens").alias("n")).select(
+        "task", F.sum("n").over(before(W.orderBy("task"))).alias("earlier"))
+    zero = F.lit(0).cast("bigint")
+    return files.withColumn("own", own).join(tasks, "task").select(
+        "file", (F.coalesce("earlier", zero) + F.coalesce("own", zero)).alias("base"))
+
+
+def _tasks(manifest: DataFrame) -> int:
+    """Tasks that read the files: about ``READ_BYTES`` to each however many there
+    are, and while there are few, enough for all cores."""
+    s = manifest.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes")).first()
+    return max(1, min(s["n"], max(-(-(s["bytes"] or 0) // READ_BYTES), 2 * manifest.sparkSession.sparkContext.defaultParallelism)))
+
+
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (binary,
     little-endian u32) of every document in the files of ``manifest``.
 
-    The files' first positions are a running sum over the manifest, a row per
-    file of millions of ids.
+    A task holds one file at a time. Null and repeated document ids come back
+    as they were written, a row for each; a document longer than a file's usual
+    size is one row. Columns of the manifest beyond its own are left out, and an
+    empty manifest gives an empty table.
     """
-    order = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    files = manifest.select("file", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)).alias("base"))
-    n = max(1, min(manifest.count(), 20_000))
+    files = first_positions(manifest)
 
     def read(batches):
         for b in batches:
@@ -176,7 +201,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                          pa.array([raw[4 * (x - y):4 * x] for x, y in zip(e.tolist(), k.tolist())], pa.binary())],
                         ["doc_id", "start", "n_tokens", "ids"])
 
-    return files.repartition(n).mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return files.repartition(_tasks(manifest)).mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,6 +101,21 @@ def test_token_files_round_trip(make_docs, tmp_path):
     assert empty.count() == 0 and token_files.read_token_files(empty).count() == 0
 
 
+def test_token_files_first_positions(ready):
+    r = np.random.default_rng(4)
+    rows = [((int(t) << 24) + i, f"f{t}-{i}", 1, int(r.integers(0, 1 << 40)), 10) for t in (0, 2, 3, 9) for i in range(int(r.integers(1, 30)))]
+    shuffled = [rows[i] for i in r.permutation(len(rows))]
+    manifest = ready.createDataFrame(shuffled, token_files.MANIFEST).repartition(5)
+    got = {x.file: x.base for x in token_files.first_positions(manifest).collect()}
+    ends = np.cumsum([x[3] for x in rows])
+    assert got == {x[1]: int(e) - x[3] for x, e in zip(rows, ends)}
+    cores = 2 * ready.sparkContext.defaultParallelism
+    assert token_files._tasks(manifest) == min(len(rows), cores)
+    many = ready.range(50_000).selectExpr("id AS part", "'f' AS file", "1L AS n_docs", "1L AS n_tokens", "4000000L AS n_bytes")
+    assert token_files._tasks(many) == -(-50_000 * 4_000_000 // token_files.READ_BYTES)       # grows with the bytes
+    assert token_files._tasks(many.limit(0)) == 1
+
+
 def test_byte_coding_of_all_widths():
     r = np.random.default_rng(0)
     for ids in (np.zeros(0), r.integers(0, 200, 7), r.integers(0, 70_000, 200_000), np.arange(70_003), np.array([5] * 9 + [1 << 20])):
