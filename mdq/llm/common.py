@@ -63,6 +63,13 @@ def hash_unit(*cols, seed: int):
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
 
 
+def remove_shared(spark: SparkSession, paths) -> None:
+    """Delete tables of the shared folder that nothing reads any more."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph given as (a, b) rows of longs.
 
@@ -70,13 +77,21 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     node in ``edges``. Alternates the two star operations of Kiveris et al.
     (every neighbour larger than a node is linked to the node's smallest
     neighbour; then the same among the smaller ones), which needs O(log n)
-    rounds in practice. Each round is written to the shared folder. Minima are
-    combined before the shuffle, and the joins are between two plain shuffles,
-    so a node with very many links can be split by AQE.
+    rounds in practice. Each round is written to the shared folder, and once
+    its links are written, nothing reads what it was made from: those tables are
+    deleted, so the folder holds two rounds at most. Minima are combined before
+    the shuffle, and the joins are between two plain shuffles, so a node with
+    very many links can be split by AQE.
     Self links, repeated links and empty input are fine.
     """
-    e = write_shared(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                     .filter("u <> v").distinct(), "cc")
+    spark, written = edges.sparkSession, []
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        written.append(shared_path(spark, name))
+        df.write.parquet(written[-1])
+        return spark.read.schema(df.schema).parquet(written[-1])
+
+    e = write(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "cc")
     state = None
     for _ in range(max_rounds):
         got = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h"),
@@ -85,14 +100,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         state = got
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = write_shared(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-min")
+        low = write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-min")
         large = (both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").distinct())
-        large = write_shared(large, "cc-large")                       # u > v
-        low = write_shared(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
+        large = write(large, "cc-large")                       # u > v
+        low = write(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))).filter("u <> v")
-        e = write_shared(small.distinct(), "cc")
+        e = write(small.distinct(), "cc")
+        remove_shared(spark, written[:-1])
+        del written[:-1]
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

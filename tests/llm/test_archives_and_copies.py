@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import os
 import re
 
 import numpy as np
@@ -150,6 +151,17 @@ def test_hot_keys_in_tiles(ready):
     assert len(set(zip(label.tolist(), mine))) == len(set(mine)) == len(set(label.tolist()))
 
 
+def test_components_leave_one_table(ready):
+    from mdq.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(ready).removeprefix("file:")
+    tables = lambda: {x for x in os.listdir(folder) if x.startswith("cc")}
+    before = tables()
+    edges = ready.createDataFrame([(i, i + 1) for i in range(200)], "a bigint, b bigint")
+    roots = connected_components(edges)
+    assert len(tables() - before) == 1                          # the last round's links, which the result reads
+    assert {(r.node, r.root) for r in roots.collect()} == {(i, 0) for i in range(201)}
+
+
 def test_chain_components(ready):
     order = np.random.default_rng(0).permutation(3000)
     edges = [(int(a), int(b)) for a, b in zip(order, order[1:])] + [(5000, 5001), (5001, 5000), (7, 7)]
