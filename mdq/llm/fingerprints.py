@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from mdq.llm.common import WORD_BREAK, read_table
+from mdq.llm.common import WORD_BREAK, free_prefix, quoted, read_table
 
 K = 128
 SHINGLE = 5
@@ -44,9 +44,12 @@ def sketch_column(h: Column, k: int = K, n: int = SHINGLE) -> Column:
 def sketch(docs: DataFrame, out: str = "sketch", text: str = "text", k: int = K) -> DataFrame:
     """``docs`` with the bottom-k sketch of ``text`` as column ``out`` (replaced
     if there). The word hashes are a step of their own, so that no shingle
-    hashes the text again."""
-    return (docs.withColumn("fp__h", word_hashes(F.col(text)))
-            .withColumn(out, sketch_column(F.col("fp__h"), k)).drop("fp__h"))
+    hashes the text again. A null or wordless text has an empty sketch, a long
+    one is hashed whole, rows that repeat stay, an empty table gives an empty
+    one, and all other columns come through, whatever their names."""
+    h = free_prefix([*docs.columns, out], "fp") + "h"
+    return (docs.withColumn(h, word_hashes(F.col(quoted(text))))
+            .withColumn(out, sketch_column(F.col(h), k)).drop(h))
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:
@@ -129,6 +132,13 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited and near_next of every row of ``docs`` (doc_id, text).
+
+    Null text counts as empty; an empty text has the empty fingerprint, which is
+    like another empty one (1) and unlike all others (0). Very long texts are
+    hashed whole. Rows may repeat, and each gives a row; null ids come first;
+    an empty table gives an empty table. Other columns are left out."""
     docs = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows, w = with_next(docs, "doc_id", "text")
     rows = rows.withColumn("nx_text", F.lead("text").over(w)).withColumn("n_chars", F.length("text").cast("bigint"))

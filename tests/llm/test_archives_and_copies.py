@@ -213,6 +213,22 @@ def test_pipeline_on_odd_and_empty_tables(make_docs, tables):
             docs = docs.sparkSession.createDataFrame(docs.collect(), docs.schema)
 
 
+def test_pipeline_run_on_documents_beside_odd_rows(ready, make_docs, tables):
+    real = read_table(ready, "/root/testdata/sf0.001", "documents")
+    whole = [r.text for r in real.filter("lang = 'en' AND n_chars > 2000").orderBy("doc_id").collect()]
+    odd = make_docs([(d, t, None) for d, t in ODD] + [(None, None, None, None), (900_001, "", "en"), (900_002, " \n\t", "en"),
+                                                      (900_003, "\n".join(whole * 20), "en"), (900_004, whole[0], "en", None)])
+    both = real.unionByName(odd.select(*[F.col(f.name).cast(f.dataType) for f in real.schema])).unionByName(real.orderBy("doc_id").limit(20))
+    folder = tables(documents=both.withColumn("pk__uid", F.lit(1)).withColumn("sd__id", F.lit("x")).withColumn("a.b", F.lit(2)))
+    packed = corpus_pipeline.run(ready, folder)
+    end = packed.groupBy("sequence_id").agg(F.max(F.col("offset") + F.col("length")).alias("e"), F.sum("length").alias("s"))
+    assert end.filter("e <> s or e > 4096").count() == 0
+    got = {r.doc_id: r.n for r in packed.filter("piece = 0").groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    plain = {r.doc_id for r in corpus_pipeline.run(ready, "/root/testdata/sf0.001").select("doc_id").distinct().collect()}
+    assert None not in got and not {900_001, 900_002} & set(got) and set(got) <= {r.doc_id for r in both.select("doc_id").collect()}
+    assert len(plain & set(got)) > 0.8 * len(plain)             # the real documents stay beside the odd rows
+
+
 def test_queries_match_their_sql(ready):
     import __spark_entry__ as entry
     from check_oracle import duck_connect, norm_rows

@@ -64,6 +64,13 @@ def test_sketches_merge_and_estimate(ready):
     assert abs(r.j - jaccard(sa, sb)) < 0.15 and r.inside > 0.85 and abs(r.n / len(sc) - 1) < 0.3
 
 
+def test_sketch_keeps_every_column(make_docs):
+    docs = make_docs([(1, None), (2, ""), (3, "a b c"), (3, "a b c"), (4, "w " * 50_000)], extra=["fp__h", "h"])
+    got = fp.sketch(docs).orderBy("doc_id").collect()
+    assert [len(r.sketch) for r in got] == [0, 0, 1, 1, 1] and {(r["fp__h"], r["h"]) for r in got} == {("x", "x")}
+    assert fp.sketch(make_docs([])).count() == 0
+
+
 def test_no_python_in_native_plans(make_docs):
     for df in (fp.fingerprint_edits(make_docs(ODD)), mixing.mix(make_docs(ODD))):
         plan = df._jdf.queryExecution().executedPlan().toString()
