@@ -184,3 +184,74 @@ def test_rules_under_a_third_of_null_keys(holes, key):
     df = RULES[key].fn(t, AS_OF)
     rel = con.sql(_sql(key))
     assert norm_rows(df.columns, [tuple(r) for r in df.collect()]) == norm_rows(rel.columns, rel.fetchall())
+
+
+# -- written in parts, and at size ---------------------------------------------
+LANE_ROWS = dict(part_dim=[dict(GMID="M1", RELEVANCYKNX="1"), dict(GMID="7", RELEVANCYKNX="1"), dict(GMID="M2", RELEVANCYKNX="0")],
+                 material=[dict(GMID_CODE="007", IS_ACTIVE=True), dict(GMID_CODE="7", IS_ACTIVE=True), dict(GMID_CODE="8", IS_ACTIVE=False)])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_untto_and_lanes_in_their_families(spark, seed):
+    r, t = random.Random(seed), odd_tables(spark, 40 + seed)
+    pick = lambda *v: r.choice(v)
+    lanes = [dict(SOURCE_SYSTEM=pick("kinaxis", "KINAXIS", "Kinaxis", None), GMID=pick("7", "07", "8", "M1", "M2", None), FROM_GMID=pick("7", "M1", "", None),
+                  SITE=pick("S1", None), SITE_UID=pick("kinaxis_S1", "KINAXIS_S2", None), FROM_SITE=pick("S1", None), FROM_SITE_UID=pick("kinaxis_S1", None),
+                  TYPE=pick("Make", "Other", None), ORDER_POLICY=pick("NoOrders", "LotForLot", None), EFFECTIVE_OUT_DATE=pick(None, "1999-01-01")) for _ in range(60)]
+    t._frames |= {n: by_contract(spark, bod=lanes, **LANE_ROWS)[n] for n in ("bod", "part_dim", "material")}
+    rules = [RULES[k] for k in (*fused.PIR_FAMILY, "dq_untto", *fused.LANES)]
+    parts, rest = fused.conformed_rows(t, AS_OF, rules)
+    assert rest == [] and len(parts) == 2
+    assert bag(reduce(DataFrame.unionByName, parts)) == bag(reduce(DataFrame.unionByName, [conformed_rule(x.rows(t, AS_OF), x) for x in rules]))
+    parts, rest = fused.suite_rows(t, AS_OF, [RULES[k] for k in fused.LANES])
+    assert rest == [] and len(parts) == 1
+    want = Counter()
+    for k in fused.LANES:
+        want += bag(RULES[k].fn(t, AS_OF))
+    assert bag(parts[0]) == want
+
+
+def test_suite_written_in_parts_is_the_suite(spark):
+    from mdq.plans.suite import suite_written
+    t = odd_tables(spark, 3)
+    assert bag(suite_written(t, AS_OF)) == bag(run_suite(t, AS_OF))
+
+
+def test_large_input_is_dealt_by_size(spark, monkeypatch, tmp_path):
+    from mdq import session
+    t = odd_tables(spark, 8, n=120).materialize(str(tmp_path))
+    keys = ("dq_bstae", "dq_uebtk", "dq_minbm")
+    want = {k: bag(RULES[k].fn(t, AS_OF)) for k in keys}
+    assert session.parts_by_size(t.eine) == 0
+    monkeypatch.setattr(session, "LARGE_BYTES", 10)
+    monkeypatch.setattr(session, "PART_BYTES", 400)
+    n = session.parts_by_size(t.eine.join(t.eina, "INFNR"))
+    assert n > 8
+    assert {k: bag(RULES[k].fn(t, AS_OF)) for k in keys} == want
+    plan = RULES["dq_bstae"].fn(t, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2        # the records of EINE and of EINA, once each
+
+
+def test_one_organisation_does_not_meet_in_one_partition(spark):
+    """Without AQE: all rows of the one purchasing organisation used to be in one partition."""
+    from mdq.operators import pir
+    eine = [dict(SOURCE_SYSTEM="P08", INFNR=f"I{i}", EKORG="E1", BSTAE="A") for i in range(4000)]
+    t = by_contract(spark, eine=eine, lfm2=[dict(EKORG="E1", BSTAE="A"), dict(EKORG="E1", BSTAE="B"), dict(EKORG="E1", BSTAE="B")])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = pir.with_vendor(t, t.eine).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in got) == 8000 and max(r["count"] for r in got) < 3000
+
+
+def test_history_and_views_end_in_one_scan_of_their_parts(spark):
+    """A task sends the metrics of all plan nodes of its stage to the driver: of a union of all parts, those of all rules."""
+    from __spark_entry__ import queries
+    from mdq.plans.history import HISTORY_DATES, history_over_dates
+    df = queries()["dqm_history"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "Join" not in plan and plan.count("Relation") == 1
+    names = ["SOURCE_SYSTEM", "GMID", "ATTRIBUTE", "COMPLETENESS", "ACCURACY", "VALID_FROM", "VALID_TO"]
+    rows = lambda df: Counter(tuple(r) for r in df.select(*names).collect())
+    assert rows(df) == rows(history_over_dates(Tables.from_tpch(spark, SF_SMALL), HISTORY_DATES))
