@@ -47,4 +47,4 @@ def test_records_are_shuffled_once(spark, monkeypatch, tmp_path):
         df, _ = records.records(t, conformed)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("REPARTITION_BY_NUM") == 2
-        assert plan.count("Exchange hashpartitioning(INFNR") == 3           # the third: EINE's rows without a record
+        assert plan.count("Exchange hashpartitioning(INFNR") == 2
