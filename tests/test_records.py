@@ -48,3 +48,31 @@ def test_records_are_shuffled_once(spark, monkeypatch, tmp_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("REPARTITION_BY_NUM") == 2
         assert plan.count("Exchange hashpartitioning(INFNR") == 2
+
+
+def test_conformed_view_writes_a_row_for_each_material(spark, monkeypatch):
+    """One shuffle by material and plant for the matrix and MINBM, nothing written by record, and no counts where only the worst flags matter."""
+    t, rules, seen = odd_tables(spark, 80), [RULES[k] for k in records.RULES], {}
+    write = records.write_shared
+    monkeypatch.setattr(records, "write_shared", lambda df, name: seen.setdefault(name, write(df, name)))
+    records.record_parts(t, AS_OF, rules, True, conformed_rule)
+    assert set(seen) == {"mdq-vendors", "mdq-materials"}
+    keys = seen["mdq-materials"].select("SOURCE_SYSTEM", "GMID")
+    assert keys.count() == keys.distinct().count() > 5
+    rows, names = records.records(t, True)
+    assert not [c for c in rows.columns if c.startswith("dq_")] and len(set(names)) == len(names) <= 63
+
+
+def test_ratio_kind_answers_like_the_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from mdq.operators import material
+    values = [None, "-1", "0", "0.5", "1", "2", "10000", "10001", "20000", "5000.5"]
+    one = spark.createDataFrame([(v,) for v in values], "v string").select(F.col("v").cast("decimal(13,3)").alias("v"))
+    units = spark.createDataFrame([("KG", "KG"), ("KG", "EA"), (None, "KG"), ("KG", None)], "MEINS string, _BASE string").withColumn("LMEIN", F.col("MEINS"))
+    df = one.withColumnRenamed("v", "UMREZ").crossJoin(one.withColumnRenamed("v", "UMREN")).crossJoin(units).withColumn("_ratio", material.ratio_kind())
+    flags = [*material.lmein_flags(), *material.meins_flags(F.col("MEINS") == "KG"), *material.conversion_flags(F.col("LMEIN"), F.col("_BASE"))]
+    both = df.select("*", F.array(*flags).alias("want")).withColumns(material.ratio_of("_ratio")).select("want", F.array(*flags).alias("got"), "_ratio")
+    rows = both.collect()
+    assert len(rows) == 400 and all(r.want == r.got for r in rows)
+    assert {r._ratio for r in rows} == set(range(11))
