@@ -1,12 +1,14 @@
 """The rules on info records over their one written join, against the rules one by one."""
 
 import random
+import re
 from collections import Counter
 from functools import reduce
 
 import pytest
 from pyspark.sql import DataFrame
 
+from mdq.functions.texts import packed, unpacked
 from mdq.operators import RULES
 from mdq.operators.joins import expand_copies
 from mdq.plans import records
@@ -63,6 +65,35 @@ def test_conformed_view_writes_a_row_for_each_material(spark, monkeypatch):
     assert not [c for c in rows.columns if c.startswith("dq_")] and len(set(names)) == len(names) <= 63
 
 
+def shuffled(df):
+    """(how many columns, the first keys) of each shuffle in the plan of ``df``."""
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [(int(n), re.sub("#[0-9]+L?", "", keys)) for n, keys in re.findall(r"Exchange\nInput \[(\d+)\]:.*\nArguments: hashpartitioning\(([^)]*?), \d+\)", plan)]
+
+
+def test_rows_of_the_conformed_view_are_shuffled_short(spark, tmp_path):
+    """Few columns by record, by material and for the units, and one shuffle by the material for MINBM, not one more for its plants."""
+    t = odd_tables(spark, 81).materialize(str(tmp_path))
+    rows, names = records.records(t, True)
+    found = shuffled(records._matrix(records._with_minbm(t, rows, names), names, True))
+    assert sorted(n for n, keys in found if keys == "INFNR") == [3, 5]
+    assert max(n for n, keys in found if keys == "MATNR, _spread") == 6
+    assert not [keys for _, keys in found if keys.startswith("MATNR, WERKS")]
+    assert (2, "MATNR") in shuffled(records._unit_rows(t, [RULES[k] for k in records.UNITS], True))
+
+
+def test_packed_texts_come_back(spark):
+    from decimal import Decimal
+    values = [None, "", " ", "=", "|", "~", "~0", "~1", "||~1~", "W1", "~|=", "\\|", "NULL"]
+    rows = [(a, b, n, x) for a in values for b in values for n, x in ((None, None), (Decimal("0E-10"), 0.1), (Decimal("-12.5"), float("inf")), (Decimal("9" * 28 + ".0000000001"), 1e300))]
+    df = spark.createDataFrame(rows, "a string, b string, n decimal(38,10), x double")
+    back = df.withColumn("t", packed("a", "b", "n", "x")).withColumns(unpacked("t", **{c + "_": df.schema[c].dataType for c in df.columns}))
+    assert back.count() == len(rows)
+    for r in back.collect():
+        assert (r.a, r.b, r.n, r.x) == (r.a_, r.b_, r.n_, r.x_)
+    assert back.select("t").distinct().count() == len(rows)
+
+
 def test_ratio_kind_answers_like_the_numbers(spark):
     from pyspark.sql import functions as F
 
