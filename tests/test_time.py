@@ -1,5 +1,6 @@
 """What the time of the large queries hangs on: code that the JVM compiles, few pairs of rows, one join for many rules."""
 
+from collections import Counter
 from functools import reduce
 
 import pytest
@@ -9,6 +10,7 @@ from mdq.functions.scope import prefix_scope
 from mdq.operators import RULES
 from mdq.plans import records
 from mdq.plans.conform import conformed_rule
+from mdq.plans.history import HISTORY_DATES, history_over_dates, history_parts
 from test_fused import AS_OF, bag, by_contract, odd_tables
 
 #: The JVM leaves longer methods (bytes) uncompiled and interprets them for each row.
@@ -64,3 +66,11 @@ def test_rows_of_a_material_are_one_before_the_join(spark):
     rows, names = records.records(t, True)
     assert "_state" in rows._jdf.queryExecution().optimizedPlan().toString()
     assert rows.count() == 10 and t.eine.where(prefix_scope()).count() == 10
+
+
+def test_history_over_the_one_join(spark):
+    t, rules = odd_tables(spark, 91), [RULES[k] for k in ("dq_prdat", "dq_bstae", "dq_aplfz")]
+    rows = lambda df: Counter(map(tuple, df.select("SOURCE_SYSTEM", "GMID", "ATTRIBUTE", "COMPLETENESS", "ACCURACY", "VALID_FROM", "VALID_TO").collect()))
+    got = rows(reduce(DataFrame.unionByName, history_parts(t, HISTORY_DATES, rules, written=True)))
+    assert got == rows(history_over_dates(t, HISTORY_DATES, rules))
+    assert {k[2] for k in got} == {"PRDAT", "BSTAE", "APLFZ"} and {k[6] for k in got if k[2] == "PRDAT"} != {k[6] for k in got if k[2] == "BSTAE"} == {None}
