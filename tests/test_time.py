@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import DataFrame
 
 from mdq.functions.scope import prefix_scope
-from mdq.operators import RULES
+from mdq.operators import RULES, joins
 from mdq.plans import records
 from mdq.plans.conform import conformed_rule
 from mdq.plans.history import HISTORY_DATES, history_over_dates, history_parts
@@ -74,3 +74,14 @@ def test_history_over_the_one_join(spark):
     got = rows(reduce(DataFrame.unionByName, history_parts(t, HISTORY_DATES, rules, written=True)))
     assert got == rows(history_over_dates(t, HISTORY_DATES, rules))
     assert {k[2] for k in got} == {"PRDAT", "BSTAE", "APLFZ"} and {k[6] for k in got if k[2] == "PRDAT"} != {k[6] for k in got if k[2] == "BSTAE"} == {None}
+
+
+def test_copies_are_made_by_many_tasks(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 5000), ("b", 1), (None, 3), ("c", 1024), ("c", 1)], "k string, _n bigint").coalesce(1)
+    want = Counter(r.k for r in joins.expand_copies(rows, "_n").collect())
+    assert joins.spread_copies(rows, "_n").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(joins, "COPIES", 400)
+    df = joins.spread_copies(rows, "_n")
+    assert Counter(r.k for r in df.collect()) == want == {"a": 5000, "b": 1, None: 3, "c": 1025}
+    made = [n for n in df.rdd.glom().map(len).collect() if n]
+    assert len(made) > 3 and max(made) < 3500
