@@ -85,3 +85,25 @@ def test_copies_are_made_by_many_tasks(spark, monkeypatch):
     assert Counter(r.k for r in df.collect()) == want == {"a": 5000, "b": 1, None: 3, "c": 1025}
     made = [n for n in df.rdd.glom().map(len).collect() if n]
     assert len(made) > 3 and max(made) < 3500
+
+
+def test_parts_are_written_by_jobs_at_a_time(spark, monkeypatch):
+    """As many jobs as allowed are open together, all rows come back, and an error of one is an error of all."""
+    import threading
+
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from mdq import session
+    met, write, seen = threading.Barrier(session.AT_ONCE, timeout=60), DataFrameWriter.parquet, []
+
+    def parquet(self, path, *a, **k):
+        seen.append(path)
+        met.wait()
+        return write(self, path, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    frames = [spark.range(i, i + 1) for i in range(2 * session.AT_ONCE)]
+    df = session.write_parts(spark, iter(frames), "mdq-test")
+    assert sorted(r.id for r in df.collect()) == list(range(len(frames))) and len(set(seen)) == len(frames)
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    with pytest.raises(Exception, match="no_such"):
+        session.write_parts(spark, [spark.range(1), spark.range(1).selectExpr("assert_true(id > 9, 'no_such') IS NULL AS id")], "mdq-test")
