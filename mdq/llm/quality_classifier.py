@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, max_bytes: int
     own = labels.select("doc_id", "quality").filter((crc_mod("doc_id", 3) != 1) & F.col("quality").isin(0, 1)).distinct()
     counts = {r["quality"]: r["n"] for r in own.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return Network.start(seed)
+        return train([], np.array([], np.int64), seed)
     share = F.create_map(*[F.lit(v) for q, n in counts.items() for v in (q, min(1.0, max_rows / 2 / n))])
     chosen = own.filter(hash_unit("doc_id", seed=seed) < share[F.col("quality")])
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")   # about max_rows ids
